@@ -143,8 +143,12 @@ def apply_defaults(df: DataFrame, arrived: Column) -> DataFrame:
 def rates_frame(
     spark: SparkSession, rates: Mapping[str, float] = fixed.COIN_USD_RATES
 ) -> DataFrame:
-    """The price list as a frame, one row per coin."""
-    return spark.createDataFrame(list(rates.items()), "crypto_currency string, coin_rate double")
+    """The price list as a frame, one row per coin, of a size the optimiser can see."""
+    rows = [
+        F.struct(F.lit(coin).alias("crypto_currency"), F.lit(rate).alias("coin_rate"))
+        for coin, rate in rates.items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def fx_enrich(

@@ -164,11 +164,11 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> DataFrame:
+def numeric_summary(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> DataFrame:
     """count, mean, stddev, min, quartiles and max of each column, one row per statistic.
 
-    Quartiles come from a sketch whose size is bounded by `accuracy`: they are exact up to
-    about that many rows and off by at most 1/accuracy in rank beyond.
+    Quartiles are approximate, as in `DataFrame.summary`: they come from a mergeable sketch of
+    bounded size and are off by at most about 1/accuracy of the rows in rank.
     """
     stats = {
         "count": lambda c: F.count(c).cast("double"),

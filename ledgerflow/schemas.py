@@ -4,113 +4,215 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
+TEXT, INT, LONG, SHORT = T.StringType(), T.IntegerType(), T.LongType(), T.ShortType()
+REAL, FLOAT, TIME, DATE = T.DoubleType(), T.FloatType(), T.TimestampType(), T.DateType()
+BYTES, TEXTS = T.BinaryType(), T.ArrayType(T.StringType())
 
-def ddl(text: str) -> StructType:
-    return StructType.fromDDL(" ".join(text.split()))
 
+def row(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-# One superset of all event variants; every field is nullable.
-EVENT = ddl(
-    """
-    transaction_id string,
-    timestamp timestamp,
-    status string,
-    sender struct<user_id: string, account_type: string, email: string, country: string,
-        kyc_level: int, preferred_crypto: string, exchange: string>,
-    receiver struct<user_id: string, email: string, country: string, exchange: string,
-        kyc_level: int, registration_date: date>,
-    transfer struct<crypto_symbol: string, crypto_amount: double, usd_equivalent: double,
-        thb_equivalent: double, exchange_rate_usd_thb: double, crypto_rate_usd: double>,
-    fees struct<fee_usd: double, fee_rate: double, fee_type: string, fee_thb: double>,
-    network struct<network_type: string, confirmation_blocks: int, network_fee_usd: double>,
-    processing_time_minutes int,
-    compliance struct<aml_score: double, risk_level: string, flags: array<string>,
-        sanctions_check: string>,
-    stream_metadata struct<producer_id: string, generated_at: timestamp, sequence_id: bigint,
-        fraud_type: string>,
-    fraud_pattern struct<pattern_type: string, total_recipients_in_window: int,
-        time_window_minutes: int, pattern_total_usd: double>
-    """
-)
 
-TOPIC = ddl(
-    """
-    key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp
-    """
+# One superset of all event variants; every field is nullable.
+EVENT = row(
+    transaction_id=TEXT,
+    timestamp=TIME,
+    status=TEXT,
+    sender=row(
+        user_id=TEXT,
+        account_type=TEXT,
+        email=TEXT,
+        country=TEXT,
+        kyc_level=INT,
+        preferred_crypto=TEXT,
+        exchange=TEXT,
+    ),
+    receiver=row(
+        user_id=TEXT,
+        email=TEXT,
+        country=TEXT,
+        exchange=TEXT,
+        kyc_level=INT,
+        registration_date=DATE,
+    ),
+    transfer=row(
+        crypto_symbol=TEXT,
+        crypto_amount=REAL,
+        usd_equivalent=REAL,
+        thb_equivalent=REAL,
+        exchange_rate_usd_thb=REAL,
+        crypto_rate_usd=REAL,
+    ),
+    fees=row(fee_usd=REAL, fee_rate=REAL, fee_type=TEXT, fee_thb=REAL),
+    network=row(network_type=TEXT, confirmation_blocks=INT, network_fee_usd=REAL),
+    processing_time_minutes=INT,
+    compliance=row(aml_score=REAL, risk_level=TEXT, flags=TEXTS, sanctions_check=TEXT),
+    stream_metadata=row(producer_id=TEXT, generated_at=TIME, sequence_id=LONG, fraud_type=TEXT),
+    fraud_pattern=row(
+        pattern_type=TEXT,
+        total_recipients_in_window=INT,
+        time_window_minutes=INT,
+        pattern_total_usd=REAL,
+    ),
 )
 
-ENVELOPE = ddl(
-    """
-    partition_key string, kafka_topic string, kafka_partition int, kafka_offset bigint,
-    kafka_timestamp timestamp, ingestion_timestamp timestamp
-    """
+TOPIC = row(key=BYTES, value=BYTES, topic=TEXT, partition=INT, offset=LONG, timestamp=TIME)
+
+ENVELOPE = row(
+    _corrupt=TEXT,
+    partition_key=TEXT,
+    kafka_topic=TEXT,
+    kafka_partition=INT,
+    kafka_offset=LONG,
+    kafka_timestamp=TIME,
+    ingestion_timestamp=TIME,
+    date_partition=TEXT,
+    hour_partition=INT,
 )
-
-RAW_LAYER = StructType(
-    EVENT.fields
-    + ENVELOPE.fields
-    + ddl("_corrupt string, date_partition string, hour_partition int").fields
+RAW_LAYER = T.StructType(EVENT.fields + ENVELOPE.fields)
+
+# --- cleaned layer: what the cleaned rows look like when streamed again ---------
+SILVER_LAYER = row(
+    transaction_id=TEXT,
+    transaction_timestamp=TIME,
+    status=TEXT,
+    sender_user_id=TEXT,
+    sender_account_type=TEXT,
+    sender_email=TEXT,
+    sender_country=TEXT,
+    sender_kyc_level=INT,
+    sender_preferred_crypto=TEXT,
+    receiver_user_id=TEXT,
+    receiver_email=TEXT,
+    receiver_country=TEXT,
+    receiver_exchange=TEXT,
+    receiver_kyc_level=INT,
+    crypto_currency=TEXT,
+    crypto_amount=REAL,
+    usd_amount=REAL,
+    thb_amount=REAL,
+    exchange_rate_usd_thb=REAL,
+    fee_usd=REAL,
+    fee_rate=REAL,
+    fee_type=TEXT,
+    original_aml_score=REAL,
+    original_risk_level=TEXT,
+    kafka_topic=TEXT,
+    kafka_partition=INT,
+    kafka_offset=LONG,
+    kafka_timestamp=TIME,
+    ingestion_timestamp=TIME,
+    date_partition=TEXT,
+    hour_partition=INT,
+    dq_transaction_id_valid=T.BooleanType(),
+    dq_amount_valid=T.BooleanType(),
+    dq_country_valid=T.BooleanType(),
+    dq_currency_valid=T.BooleanType(),
+    dq_status_valid=T.BooleanType(),
+    dq_risk_level_valid=T.BooleanType(),
+    data_quality_score=REAL,
+    is_high_quality=T.BooleanType(),
+    enhanced_fraud_score=REAL,
+    is_cross_border=T.BooleanType(),
+    transaction_category=TEXT,
+    risk_category=TEXT,
+    kyc_compliance_level=TEXT,
+    silver_processing_timestamp=TIME,
+    processing_date=DATE,
+    event_date=DATE,
 )
 
-TRANSACTIONS = ddl(
-    """
-    transaction_id string, timestamp timestamp, from_exchange string, to_exchange string,
-    amount double, currency string, is_suspicious short, risk_score bigint, country string,
-    account_type string, sender_user_id string, receiver_user_id string, crypto_currency string,
-    fiat_amount double, exchange_rate double, transaction_type string, processing_time_ms bigint,
-    sender_country string, receiver_country string, sender_kyc_level short,
-    receiver_kyc_level short, thb_equivalent double, fee_usd double, network_confirmations short,
-    created_at timestamp
-    """
-)
-PRICES = ddl(
-    """
-    symbol string, price double, timestamp timestamp, source string, volume_24h double,
-    price_change_24h double, market_cap double, created_at timestamp
-    """
+# --- flat tables ---------------------------------------------------------------
+TRANSACTIONS = row(
+    transaction_id=TEXT,
+    timestamp=TIME,
+    from_exchange=TEXT,
+    to_exchange=TEXT,
+    amount=REAL,
+    currency=TEXT,
+    is_suspicious=SHORT,
+    risk_score=LONG,
+    country=TEXT,
+    account_type=TEXT,
+    sender_user_id=TEXT,
+    receiver_user_id=TEXT,
+    crypto_currency=TEXT,
+    fiat_amount=REAL,
+    exchange_rate=REAL,
+    transaction_type=TEXT,
+    processing_time_ms=LONG,
+    sender_country=TEXT,
+    receiver_country=TEXT,
+    sender_kyc_level=SHORT,
+    receiver_kyc_level=SHORT,
+    thb_equivalent=REAL,
+    fee_usd=REAL,
+    network_confirmations=SHORT,
+    created_at=TIME,
 )
-VOLUMES = ddl(
-    """
-    exchange string, symbol string, daily_volume double, daily_trades bigint, timestamp date,
-    price_change_pct double, created_at timestamp
-    """
+PRICES = row(
+    symbol=TEXT,
+    price=REAL,
+    timestamp=TIME,
+    source=TEXT,
+    volume_24h=REAL,
+    price_change_24h=REAL,
+    market_cap=REAL,
+    created_at=TIME,
 )
-USERS = ddl(
-    """
-    user_id string, account_type string, email string, country string, exchange string,
-    kyc_level short, registration_date date, risk_profile string, monthly_volume_usd double,
-    preferred_cryptos array<string>, created_at timestamp
-    """
+VOLUMES = row(
+    exchange=TEXT,
+    symbol=TEXT,
+    daily_volume=REAL,
+    daily_trades=LONG,
+    timestamp=DATE,
+    price_change_pct=REAL,
+    created_at=TIME,
 )
-ALERTS = ddl(
-    """
-    alert_id string, transaction_id string, user_id string, fraud_score float, alert_type string,
-    severity string, timestamp timestamp, details string, created_at timestamp
-    """
+USERS = row(
+    user_id=TEXT,
+    account_type=TEXT,
+    email=TEXT,
+    country=TEXT,
+    exchange=TEXT,
+    kyc_level=SHORT,
+    registration_date=DATE,
+    risk_profile=TEXT,
+    monthly_volume_usd=REAL,
+    preferred_cryptos=TEXTS,
+    created_at=TIME,
 )
-MARKET_DAILY = ddl(
-    """
-    date date, coin string, market string, avg_price_thb double, avg_price_usd double,
-    total_volume double, total_quote_volume double, total_trades bigint
-    """
+ALERTS = row(
+    alert_id=TEXT,
+    transaction_id=TEXT,
+    user_id=TEXT,
+    fraud_score=FLOAT,
+    alert_type=TEXT,
+    severity=TEXT,
+    timestamp=TIME,
+    details=TEXT,
+    created_at=TIME,
 )
-CANDLES = ddl(
-    """
-    open_time timestamp, open double, high double, low double, close double, volume double,
-    close_time timestamp, quote_volume double, num_trades int, taker_buy_base double,
-    taker_buy_quote double, ignore double
-    """
+MARKET_DAILY = row(
+    date=DATE,
+    coin=TEXT,
+    market=TEXT,
+    avg_price_thb=REAL,
+    avg_price_usd=REAL,
+    total_volume=REAL,
+    total_quote_volume=REAL,
+    total_trades=LONG,
 )
-OFFSETS = ddl("topic string, partition int, end_offset bigint, committed_offset bigint")
+OFFSETS = row(topic=TEXT, partition=INT, end_offset=LONG, committed_offset=LONG)
 
 
 @dataclass(frozen=True)
 class TableSpec:
     """How a table is laid out: month folders of `month_of` and a sort inside each file."""
 
-    schema: StructType
+    schema: T.StructType
     sort_by: tuple[str, ...]
     month_of: str | None = None
 
