@@ -16,6 +16,9 @@ def local_session(cores: int | str = "*", app: str = "ledgerflow", **conf: str)
         "spark.ui.enabled": "false",
         "spark.driver.memory": "12g",
         "spark.sql.adaptive.enabled": "true",
+        # Let the JIT compile long generated methods (wide projections); on a cluster put the
+        # same flag into spark.executor.extraJavaOptions.
+        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     }
     settings.update(conf)
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
