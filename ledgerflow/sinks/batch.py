@@ -15,10 +15,11 @@ from ledgerflow.schemas import TABLES, TableSpec
 def replace_date(df: DataFrame, path: str, date_col: str = "date") -> None:
     """Replace exactly the days present in `df`; other days stay. Running it twice changes nothing.
 
-    `df` must not read the days it replaces.
+    `df` must not read the days it replaces. Rows are brought together by day to write few
+    files; the rebalance splits a day that is too large for one task.
     """
     (
-        df.repartition(F.col(date_col))
+        df.hint("rebalance", F.col(date_col))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)

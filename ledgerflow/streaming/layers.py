@@ -100,11 +100,14 @@ def refresh_days(
 ) -> None:
     """Recompute the touched days from the cleaned layer and replace them, table by table.
 
-    `touched` has one row per day. The semi join prunes the other days' folders while
-    scanning, and a whole day always comes out, so retries and late rows are harmless.
+    Only the list of days comes to the driver, at most one value per calendar day, so that the
+    scan reads just those folders. A whole day always comes out: retries and late rows are
+    harmless.
     """
-    days = touched.select(date_col).distinct()
-    rows = read_silver(spark, paths).join(days, date_col, "left_semi")
+    days = [r[0] for r in touched.select(date_col).distinct().collect()]
+    if not days:
+        return
+    rows = read_silver(spark, paths).where(F.col(date_col).isin(days))
     for name, build in tables.items():
         replace_date(build(rows, date_col=date_col), paths.layer(f"gold/{name}"), date_col)
 
