@@ -144,7 +144,10 @@ def rapid_fire(
     rules: RapidRules = RapidRules(),
     watermark: str | None = None,
 ) -> DataFrame:
-    """Sliding windows in which one sender splits a large total over many receivers."""
+    """Sliding windows in which one sender splits a large total over many receivers.
+
+    In a stream only transfers of at least `rules.each` enter the state and move the watermark.
+    """
     part = tx.where(c("usd_amount") >= rules.each)
     totals = window_totals(part, width, slide, watermark)
     return totals.where(

@@ -44,15 +44,15 @@ def write_topic_file(spark, path, texts, topic="transactions-normal", offset=0):
 
 def finish(*queries):
     for q in queries:
-        q.awaitTermination(120)
+        q.awaitTermination(300)
         assert not q.isActive and q.exception() is None
 
 
 def run_layers(spark, topic, paths):
     raw = events.read_topic_files(spark, topic)
     finish(layers.start_bronze(raw, paths, sink.ONCE, moment()))
-    finish(layers.start_silver(spark, paths, sink.ONCE, moment(), files_per_batch=1))
-    finish(layers.start_gold(spark, paths, sink.ONCE, files_per_batch=1))
+    finish(layers.start_silver(spark, paths, sink.ONCE, moment(), files_per_batch=15))
+    finish(layers.start_gold(spark, paths, sink.ONCE, files_per_batch=3))
 
 
 def rows_of(df):
@@ -152,10 +152,11 @@ def minutes(n):
 def test_velocity_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     path = str(tmp_path / "in")
     on_time = [tx_row(i, T0 + dt.timedelta(seconds=i), usd=31000.0) for i in range(7)]
-    later = [tx_row(50, minutes(60), "z")]
+    # The watermark filters late rows one batch after it has moved.
+    later, again = [tx_row(50, minutes(60), "z")], [tx_row(51, minutes(61), "z")]
     late = [tx_row(90, T0 + dt.timedelta(seconds=30), usd=99999.0)]
     last = [tx_row(99, minutes(300), "z")]
-    stream = stream_of(spark, path, on_time, later, late, last)
+    stream = stream_of(spark, path, on_time, later, again, late, last)
     got = collect_stream(
         spark, fraud.velocity_fraud(stream, watermark="10 minutes"), "velocity", str(tmp_path / "ck")
     )
@@ -167,7 +168,10 @@ def test_velocity_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
 def test_sliding_stream(spark, tmp_path):
     path = str(tmp_path / "in")
     rows = [tx_row(i, T0 + dt.timedelta(seconds=20 * i), usd=9000.0) for i in range(9)]
-    stream = stream_of(spark, path, rows, [tx_row(99, minutes(300), "z")])
+    # Only transfers that pass the size filter move the watermark.
+    stream = stream_of(
+        spark, path, rows, *[[tx_row(99 + i, minutes(300 + i), "z", usd=9000.0)] for i in range(2)]
+    )
     got = collect_stream(
         spark, fraud.rapid_fire(stream, watermark="1 minute"), "rapid", str(tmp_path / "ck")
     )
@@ -182,12 +186,13 @@ def test_stream_dedup(spark, tmp_path):
         [tx_row(1, minutes(0)), tx_row(2, minutes(1))],
         [tx_row(1, minutes(2))],  # inside the watermark: dropped
         [tx_row(3, minutes(500))],
-        [tx_row(1, minutes(501))],  # state is gone: kept
+        [tx_row(4, minutes(501))],
+        [tx_row(1, minutes(502))],  # state is gone: kept
     )
     got = collect_stream(
         spark, fraud.dedup(stream, watermark="10 minutes"), "dedup", str(tmp_path / "ck")
     )
-    assert sorted(r.transaction_id for r in got) == ["t1", "t1", "t2", "t3"]
+    assert sorted(r.transaction_id for r in got) == ["t1", "t1", "t2", "t3", "t4"]
     with pytest.raises(ValueError, match="watermark"):
         fraud.dedup(stream)
 
