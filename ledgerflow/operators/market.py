@@ -49,20 +49,18 @@ def cap_outliers(
 ) -> DataFrame:
     """Cap each column at mean + k sample deviations over all rows; NULL stays NULL.
 
-    The thresholds are scalar subqueries: nothing is collected, and a table too small to
+    The thresholds are one scalar subquery: nothing is collected, and a table too small to
     have a deviation is left as it is.
     """
-
-    def limit(name: str) -> Column:
-        bound = F.avg(name) + F.lit(float(k)) * F.stddev(name)
-        return df.agg(bound.alias("bound")).scalar()
-
-    return df.withColumns(
+    bounds = [(F.avg(x) + F.lit(float(k)) * F.stddev(x)).alias(x) for x in cols]
+    limits = df.agg(*bounds).select(F.struct(*cols)).scalar()
+    capped = df.withColumn("__limits", limits)
+    return capped.withColumns(
         {
-            x: F.when(c(x).isNotNull(), F.least(c(x).cast("double"), limit(x)))
+            x: F.when(c(x).isNotNull(), F.least(c(x).cast("double"), c(f"__limits.{x}")))
             for x in cols
         }
-    )
+    ).drop("__limits")
 
 
 def clean_market(daily: DataFrame, as_of: Column) -> DataFrame:
@@ -124,6 +122,25 @@ def dominance(
     )
 
 
+def daily_dominance(pivot: DataFrame, coins: Sequence[str] = fixed.PIVOT_COINS) -> DataFrame:
+    """The daily job's variant: only quote volumes are filled, a day without volume has no share."""
+    quote = [f"{x}_quote_volume_global" for x in coins]
+    usd = c("total_trading_volume_usd")
+    total = reduce(lambda a, b: a + b, (c(x) for x in quote))
+    return (
+        fill_zero(pivot, quote)
+        .withColumn("total_trading_volume_usd", total)
+        .withColumns(
+            {
+                f"{x.lower()}_dominance": F.round(
+                    F.try_divide(c(f"{x}_quote_volume_global"), usd) * 100, 2
+                )
+                for x in coins[:2]
+            }
+        )
+    )
+
+
 def market_gold(
     candles: DataFrame, as_of: Column, coins: Sequence[str] = fixed.PIVOT_COINS, scale: int = 2
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow import fixed
@@ -20,6 +20,7 @@ from ledgerflow.functions.numbers import (
     exact_sum,
     percent,
     readable_quantity,
+    units,
     whole_units,
 )
 from ledgerflow.operators import joins
@@ -437,17 +438,24 @@ def overview(tx: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
 
 
 def corridor_share(tx: DataFrame, k: int = 10) -> DataFrame:
-    """Top corridors with their share of all cross-border volume."""
-    rows = cross_border(tx)
-    out = rows.groupBy("sender_country", "receiver_country").agg(
-        n_rows().alias("transaction_count"),
-        exact_sum(usd()).alias("usd"),
-        F.round(exact_avg(usd()), 2).alias("avg_amount"),
+    """Top corridors with their share of all cross-border volume.
+
+    The denominator adds up the corridor rows, one per pair of countries, so the transfers are
+    read once and the window without partition key sees only those few rows.
+    """
+    out = (
+        cross_border(tx)
+        .groupBy("sender_country", "receiver_country")
+        .agg(
+            n_rows().alias("transaction_count"),
+            F.sum(units(usd())).alias("cents"),
+            F.round(exact_avg(usd()), 2).alias("avg_amount"),
+        )
+        .withColumn("whole", F.sum("cents").over(Window.partitionBy()) / F.lit(100.0))
+        .withColumn("usd", c("cents") / F.lit(100.0))
+        .withColumn("share", F.round(F.try_divide(c("usd") * 100.0, c("whole")), 2))
     )
-    # The denominator adds the few corridor rows up; the transfers are read once.
-    total = out.agg(exact_sum(c("usd")).alias("usd"))
-    shared = joins.with_share(out, "usd", total, "share")
-    return top(shared, k, ["usd"], ["sender_country", "receiver_country"]).select(
+    return top(out, k, ["usd"], ["sender_country", "receiver_country"]).select(
         labels.corridor(c("sender_country"), c("receiver_country")).alias("corridor"),
         "transaction_count",
         F.concat(F.lit("$"), readable_quantity(c("usd"))).alias("total_volume"),

@@ -85,3 +85,36 @@ def test_combine_matches_by_name(spark):
         ("A", 1.0, None, D1),
         ("B", 2.0, 7, D1),
     }
+
+
+def test_daily_variant_leaves_empty_days_without_share(spark):
+    df = spark.createDataFrame([day(D2, "USDC", "th", 4.0)], DAILY)
+    r = market.daily_dominance(market.coin_pivot(df)).first()
+    assert (r.total_trading_volume_usd, r.btc_dominance, r.BTC_volume_global) == (0.0, None, None)
+
+
+def test_day_job_is_repeatable(spark, tmp_path):
+    from ledgerflow.plans import daily
+    from ledgerflow.sources.files import candle_path
+
+    raw, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    assert daily.run_day(spark, raw, lake, "2024-01-01") is False
+    for d in ("2024-01-01", "2024-01-02"):
+        spark.sql(
+            "SELECT 1L AS open_time, 40000D AS close, 2D AS volume, 30D AS quote_volume, 3 AS trades"
+        ).write.parquet(candle_path(raw, "global", "BTCUSDT", d))
+        spark.sql("SELECT 1L AS timestamp, 1400000D AS close, 1D AS volume").write.parquet(
+            candle_path(raw, "th", "THB_BTC", d)
+        )
+    spark.sql("SELECT 1L AS open_time, 2D AS close, 2D AS volume, 10D AS quote_volume, 1 AS trades").write.parquet(
+        candle_path(raw, "global", "ETHUSDT", "2024-01-02")
+    )
+    for d in ("2024-01-01", "2024-01-02", "2024-01-02"):
+        assert daily.run_day(spark, raw, lake, d)
+    rows = {r.date: r for r in spark.read.parquet(f"{lake}/crypto_daily_summary").collect()}
+    assert set(rows) == {D1, D2}
+    assert (rows[D1].btc_dominance, rows[D2].btc_dominance, rows[D2].eth_dominance) == (100.0, 75.0, 25.0)
+    assert rows[D1].BTC_price_thb == 1400000.0 and rows[D1].BTC_trades_global == 3
+    daily.rebuild(spark, lake, "2024-01-01")
+    full = spark.read.parquet(f"{lake}/crypto_daily_full").collect()
+    assert [r.date for r in full] == [D1] and full[0].total_trades == 3
