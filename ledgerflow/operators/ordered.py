@@ -8,6 +8,7 @@ receives the few rows just before it from the slices to its left.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,17 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.numbers import percent
 from ledgerflow.session import cut_lineage
 
+ROWS_PER_SLICE = 5_000_000
+
+
+def sliced(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """`df` cut into even, ordered slices numbered by `__slice`, stored once."""
+    if slices is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(least, math.ceil(df.count() / ROWS_PER_SLICE))
+    ranged = df.repartitionByRange(slices, *order)
+    return cut_lineage(ranged.withColumn("__slice", F.spark_partition_id()))
+
 
 def with_previous(
     df: DataFrame,
@@ -28,14 +40,12 @@ def with_previous(
 ) -> DataFrame:
     """Add `name`: the last `n` values before the row in its key, oldest first.
 
-    `order` must be total inside a key. The slice number is fixed by writing the sliced rows
-    once to the checkpoint folder, as both the rows and the hand-over table read it.
+    `order` must be total inside a key. The number of slices follows the number of rows unless
+    given. The slice number is fixed by writing the sliced rows once to the checkpoint folder,
+    as both the rows and the hand-over table read it.
     """
     keys, order = list(keys), list(order)
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = cut_lineage(
-        df.repartitionByRange(count, *keys, *order).withColumn("__slice", F.spark_partition_id())
-    )
+    cut = sliced(df, [*keys, *order], slices)
     here = ["__slice", *keys]
     back = Window.partitionBy(*here).orderBy(*[F.desc(o) for o in order])
     inside = Window.partitionBy(*here).orderBy(*order).rowsBetween(-n, -1)
@@ -136,3 +146,45 @@ def behavior_zscore(
         )
         .drop("__before")
     )
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], slices: int | None = None
+) -> DataFrame:
+    """(column, q0, q1, ...): the smallest value whose rank reaches each share of the rows.
+
+    Values are counted first, so equal values cost one row however often they occur. The
+    counts are cut into ordered slices; a slice learns how many rows lie before it from the
+    slice totals, and only then ranks its own values.
+    """
+    cells = [F.struct(F.lit(x).alias("column"), F.col(x).cast("double").alias("value")) for x in cols]
+    counts = (
+        df.select(F.inline(F.array(*cells)))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    cut = sliced(cut_lineage(counts), ["column", "value"], slices)
+    by_column = Window.partitionBy("column")
+    before = by_column.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        cut.groupBy("column", "__slice")
+        .agg(F.sum("n").alias("t"))
+        .select(
+            "column",
+            "__slice",
+            F.coalesce(F.sum("t").over(before), F.lit(0)).alias("skipped"),
+            F.sum("t").over(by_column).alias("whole"),
+        )
+    )
+    inside = Window.partitionBy("column", "__slice").orderBy("value")
+    ranked = cut.withColumn("upto", F.sum("n").over(inside)).join(totals, ["column", "__slice"])
+    last = F.col("skipped") + F.col("upto")
+
+    def at(p: float) -> Column:
+        target = F.greatest(F.ceil(F.col("whole") * F.lit(float(p))), F.lit(1))
+        return F.max(F.when((last >= target) & (last - F.col("n") < target), F.col("value")))
+
+    return ranked.groupBy("column").agg(
+        *[at(p).alias(f"q{i}") for i, p in enumerate(probabilities)]
+    )

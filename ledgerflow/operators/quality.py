@@ -9,11 +9,13 @@ from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
 from ledgerflow import fixed
 from ledgerflow.functions.cleaning import coerce
 from ledgerflow.functions.numbers import percent
+from ledgerflow.operators.ordered import exact_quantiles
+from ledgerflow.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -169,36 +171,36 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+STATISTICS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
+
+
+def numeric_summary(
+    df: DataFrame, cols: Sequence[str], accuracy: int = 10_000, exact: bool = False
+) -> DataFrame:
     """count, mean, stddev, min, quartiles and max of each column, one row per statistic.
 
     Quartiles are approximate, as in `DataFrame.summary`: they come from a mergeable sketch of
-    bounded size and are off by at most about 1/accuracy of the rows in rank.
+    bounded size and are off by at most about 1/accuracy of the rows in rank. With `exact`
+    they are ranked over all values, at the price of a shuffle of the distinct values.
     """
-    stats = {
-        "count": lambda c: F.count(c).cast("double"),
-        "mean": lambda c: F.avg(c),
-        "stddev": lambda c: F.stddev(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    }
-    quartiles = {"25%": 0, "50%": 1, "75%": 2}
-    aggs = [f(F.col(c)).alias(f"{c}|{s}") for c in cols for s, f in stats.items()]
-    aggs += [
-        F.percentile_approx(F.col(c), [0.25, 0.5, 0.75], accuracy).alias(f"{c}|q") for c in cols
-    ]
-    order = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
-
-    def cell(c: str, s: str) -> Column:
-        if s in quartiles:
-            return F.col(f"`{c}|q`")[quartiles[s]].cast("double").alias(c)
-        return F.col(f"`{c}|{s}`").alias(c)
-
-    rows = F.array(
-        *[F.struct(F.lit(s).alias("summary"), *[cell(c, s) for c in cols]) for s in order]
-    )
-    return df.agg(*aggs).select(F.inline(rows))
-
-
-def array_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
+    shares = [0.25, 0.5, 0.75]
+
+    def named(col: str, quartiles: list[Column]) -> Column:
+        x = F.col(col)
+        cells = [F.count(x), F.avg(x), F.stddev(x), F.min(x), *quartiles, F.max(x)]
+        return F.array(*[v.cast("double") for v in cells]).alias(col)
+
+    def sketch(col: str) -> list[Column]:
+        found = F.percentile_approx(F.col(col), shares, accuracy)
+        return [found[i] for i in range(3)]
+
+    def ranked(col: str) -> list[Column]:
+        return [
+            quantiles.where(F.col("column") == col).select(f"q{i}").scalar() for i in range(3)
+        ]
+
+    if exact:
+        quantiles = cut_lineage(exact_quantiles(df, cols, shares))
+    one = df.agg(*[named(x, ranked(x) if exact else sketch(x)) for x in cols])
+    rows = F.arrays_zip(F.array(*[F.lit(s) for s in STATISTICS]).alias("summary"), *cols)
+    return one.select(F.inline(rows))

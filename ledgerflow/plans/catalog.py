@@ -899,8 +899,7 @@ add(
         ),
     ),
 )
-# Columns with few distinct values: there the sketch's quartiles equal the exact ones.
-_NUMERIC = ("l_quantity", "l_linenumber", "l_discount", "l_tax")
+_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 _STAT_SQL = {
     "count": "CAST(count({x}) AS DOUBLE)",
     "mean": o.r("avg({x})", 4),
@@ -914,7 +913,7 @@ _STAT_SQL = {
 
 
 def _numeric_summary(spark, sf):
-    out = quality.numeric_summary(sample.table(spark, sf, "lineitem"), _NUMERIC)
+    out = quality.numeric_summary(sample.table(spark, sf, "lineitem"), _NUMERIC, exact=True)
     return out.select("summary", *[F.round(x, 4).alias(x) for x in _NUMERIC])
 
 
@@ -1424,7 +1423,7 @@ add(
     o.q(
         o.PRICES,
         f"""SELECT symbol, source, price, {o.ts("timestamp")} AS timestamp, lag(price) {_OVER} AS prev_price,
-(price-lag(price) {_OVER})/lag(price) {_OVER}*1e2 AS price_change_pct FROM prices
+(price-lag(price) {_OVER})/nullif(lag(price) {_OVER},0)*1e2 AS price_change_pct FROM prices
 WHERE source IN ('binance_global','binance_th') AND symbol LIKE '%THB'""",
     ),
 )

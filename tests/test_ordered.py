@@ -1,5 +1,6 @@
 """Order-dependent operators against plain Python, with one key holding most rows."""
 
+import math
 import random
 import statistics
 
@@ -78,3 +79,25 @@ def test_zscore(spark):
         else:
             want = (xs[i] - statistics.mean(past)) / statistics.stdev(past)
             assert abs(r.amount_zscore - want) < 1e-9
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from ledgerflow import session
+
+    sc = spark.sparkContext
+    before = session.checkpoint_dir(spark)
+    assert sc.getCheckpointDir() == before == session.checkpoint_dir(spark)
+    df = session.cut_lineage(spark.range(5))
+    assert df.count() == 5 and "Scan ExistingRDD" in df._jdf.queryExecution().toString()
+
+
+def test_exact_quantiles(spark):
+    rnd = random.Random(5)
+    rows = [(1.0 if i % 3 == 0 else rnd.random() * 9, None if i % 5 == 0 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {r.column: r for r in ordered.exact_quantiles(df, ["a", "b"], shares, 13).collect()}
+    for i, name in enumerate("ab"):
+        xs = sorted(r[i] for r in rows if r[i] is not None)
+        want = [xs[max(math.ceil(p * len(xs)), 1) - 1] for p in shares]
+        assert [got[name][f"q{j}"] for j in range(5)] == want
