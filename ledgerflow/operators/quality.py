@@ -139,9 +139,24 @@ def flatten_all(df: DataFrame, sep: str = "_") -> DataFrame:
     return df.select(*leaves(df.schema))
 
 
+# Largest number of each narrow integer type.
+_LARGEST = {"tinyint": 2**7 - 1, "smallint": 2**15 - 1, "int": 2**31 - 1}
+
+
 def narrow(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast to the narrow storage types given; unreadable or too large values become NULL."""
-    return df.withColumns({c: coerce(F.col(c), t) for c, t in types.items() if c in df.columns})
+    """Cast to the narrow storage types given; unreadable or too large values become NULL.
+
+    Integers are compared with the range first: a failed cast costs far more than a comparison.
+    """
+    given = dict(df.dtypes)
+
+    def cast(name: str, to: str) -> Column:
+        x, most = F.col(name), _LARGEST.get(to)
+        if most is None or given[name] not in (*_LARGEST, "bigint"):
+            return coerce(x, to)
+        return F.when(x.between(-most - 1, most), x).cast(to)
+
+    return df.withColumns({c: cast(c, t) for c, t in types.items() if c in given})
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from ledgerflow import fixed
+
 TEXT, INT, LONG, SHORT = T.StringType(), T.IntegerType(), T.LongType(), T.ShortType()
 REAL, FLOAT, TIME, DATE = T.DoubleType(), T.FloatType(), T.TimestampType(), T.DateType()
 BYTES, TEXTS = T.BinaryType(), T.ArrayType(T.StringType())
@@ -205,6 +207,23 @@ MARKET_DAILY = row(
     total_quote_volume=REAL,
     total_trades=LONG,
 )
+MARKET_SUMMARY = T.StructType(
+    row(date=DATE).fields
+    + [
+        T.StructField(f"{coin}_{metric}", LONG if metric == "trades_global" else REAL)
+        for coin in fixed.PIVOT_COINS
+        for metric in (
+            "volume_global",
+            "quote_volume_global",
+            "price_usd",
+            "price_thb",
+            "trades_global",
+        )
+    ]
+    + row(
+        total_trading_volume_usd=REAL, total_trades=LONG, btc_dominance=REAL, eth_dominance=REAL
+    ).fields
+)
 OFFSETS = row(topic=TEXT, partition=INT, end_offset=LONG, committed_offset=LONG)
 
 
@@ -226,4 +245,5 @@ TABLES = {
     "user_accounts": TableSpec(USERS, ("user_id", "exchange")),
     "fraud_alerts": TableSpec(ALERTS, ("timestamp", "alert_id"), "timestamp"),
     "crypto_aggregates": TableSpec(MARKET_DAILY, ("date", "coin", "market"), "date"),
+    "crypto_daily_summary": TableSpec(MARKET_SUMMARY, ("date",), "date"),
 }

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow import fixed, schemas
 from ledgerflow.operators import gold
+from ledgerflow.operators.flat import route, to_alert_record, to_flat_transaction
 from ledgerflow.operators.fraud import score_alerts
 from ledgerflow.operators.quality import QualityRules, add_partitions
 from ledgerflow.operators.silver import to_silver
@@ -188,3 +189,43 @@ def start_consumer_bronze(
         trigger,
         f"bronze_{name}",
     )
+
+
+def start_flat_tables(
+    raw: DataFrame,
+    paths: Paths,
+    trigger: int | str = sink.INTERVALS["bronze"],
+    arrived: Column | None = None,
+) -> list[StreamingQuery]:
+    """Topic messages as flat transaction rows and alert records, in month folders."""
+    events = valid_events(parse_events(raw, arrived)).drop("_corrupt")
+    topic, at = F.col("kafka_topic"), F.col("ingestion_timestamp")
+
+    def start(rows: DataFrame, name: str) -> StreamingQuery:
+        rows = rows.withColumn("month", F.date_format("timestamp", "yyyyMM"))
+        return sink.write_layer(
+            rows, paths.layer(f"flat/{name}"), paths.checkpoint(name), ("month",), trigger, name
+        )
+
+    return [
+        start(to_flat_transaction(events, topic, at), "flat_transactions"),
+        start(to_alert_record(events, topic, at), "flat_alerts"),
+    ]
+
+
+def start_routing(
+    raw: DataFrame, servers: str, paths: Paths, trigger: int | str = sink.INTERVALS["bronze"]
+) -> StreamingQuery:
+    """Messages back to the topic their risk calls for; alerts go to the alert topic."""
+    return sink.write_topic(
+        routed(raw), servers, paths.checkpoint("routing"), trigger, "routing"
+    )
+
+
+def routed(raw: DataFrame) -> DataFrame:
+    """Parsed events with target topic and key; only the event fields remain in the value."""
+    scored = score_alerts(valid_events(parse_events(raw)), keep_all=True)
+    risk = F.col("compliance.risk_level")
+    alert = F.col("is_fraud_alert") & risk.isin("medium", "high")
+    sent = route(scored, risk, F.col("sender.country"), F.coalesce(alert, F.lit(False)))
+    return sent.select("topic", "key", *schemas.EVENT.names)

@@ -65,6 +65,10 @@ def test_pivot_and_dominance(spark):
     assert (a.BTC_price_usd, a.BTC_price_thb, a.USDC_price_usd) == (1.0, 35.0, None)
     assert (b.total_trading_volume_usd, b.btc_dominance, b.total_trades) == (0.0, 0.0, 0)
     assert b.USDC_price_thb == 35.1 and b.BTC_trades_global == 0
+    from ledgerflow.schemas import MARKET_SUMMARY
+
+    types = {(f.name, f.dataType) for f in market.dominance(pivot).schema.fields}
+    assert types == {(f.name, f.dataType) for f in MARKET_SUMMARY.fields}
     zero = {r.date: r for r in market.dominance(pivot, zero_prices=True).collect()}
     assert zero[D1].USDC_price_usd == 0.0
 

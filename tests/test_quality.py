@@ -63,6 +63,9 @@ def test_narrow_and_fill(spark):
     out = quality.narrow(df, {"k": "tinyint", "absent": "int"})
     assert out.first().k is None and dict(out.dtypes)["k"] == "tinyint"
     assert quality.fill_zero(df, ["v"]).first().v == 0.0
+    edges = spark.createDataFrame([(127,), (128,), (-128,), (-129,), (None,)], "x bigint")
+    got = [r.x for r in quality.narrow(edges, {"x": "tinyint"}).collect()]
+    assert got == [127, None, -128, None, None]
 
 
 def test_valid_dates(spark):

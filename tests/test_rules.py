@@ -20,6 +20,12 @@ def test_country(spark):
     assert got == ["UNKNOWN", "TH", "TH", "GB", "NARNIA", "", "JP"]
 
 
+def test_strip_equals_text_strip(spark):
+    given = ["a", " a", "a ", "\ta b\n", "\xa0é\u2009", "é", "", " ", "\x1fx", "x\x85", "ü y"]
+    got = values(spark, "x string", [(g,) for g in given], cleaning.strip(c("x")))
+    assert got == [g.strip() for g in given]
+
+
 def test_currency(spark):
     got = values(spark, "x string", [(None,), (" btc\t",)], cleaning.std_currency(c("x")))
     assert got == ["UNKNOWN", "BTC"]

@@ -123,6 +123,33 @@ def test_consumer_bronze_folders(spark, tmp_path):
     assert files.exists(spark, paths.layer("consumer/normal/year=2024/month=1/sender_country=RU"))
 
 
+def test_flat_tables_and_routing(spark, tmp_path):
+    topic, paths = str(tmp_path / "topic"), layers.Paths(str(tmp_path / "lake"))
+    rows = [
+        event(1, 1),
+        event(2, 2, aml=0.75, risk="medium"),
+        event(3, 3, aml=0.95, risk="high"),
+        event(4, 4, usd=200000.0),
+    ]
+    write_topic_file(spark, topic, [*map(json.dumps, rows), "nonsense"])
+    raw = events.read_topic_files(spark, topic)
+    finish(*layers.start_flat_tables(raw, paths, sink.ONCE, moment()))
+    flat = spark.read.parquet(paths.layer("flat/flat_transactions"))
+    assert {r.transaction_id: r.is_suspicious for r in flat.collect()} == {
+        "t1": False, "t2": True, "t3": True, "t4": False,
+    }
+    alerts = spark.read.parquet(paths.layer("flat/flat_alerts"))
+    assert {r.alert_id: r.severity for r in alerts.collect()} == {"alert_t2": "MEDIUM", "alert_t3": "HIGH"}
+    sent = events.to_topic(layers.routed(spark.read.parquet(topic))).collect()
+    assert {json.loads(r.value)["transaction_id"]: r.topic for r in sent} == {
+        "t1": "transactions-normal",
+        "t2": "transactions-suspicious",
+        "t3": "transactions-fraud-alerts",
+        "t4": "transactions-normal",
+    }
+    assert {r.key for r in sent} == {"TH"}
+
+
 TX = "transaction_id string, event_ts timestamp, sender_user_id string, receiver_user_id string, usd_amount double, risk_score bigint"
 
 
