@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from ledgerflow.llm.words import LOWER, Words, buffers, ragged, runs, split
 
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 _KIND = np.full(256, 3, np.uint8)  # ASCII: 1 letter, 2 digit, 3 other; 0 not ASCII
 _KIND[128:] = 0
@@ -259,7 +259,7 @@ class PrefixCounts:
         self.s = s
 
     def _tell(self, key: int, a: int, b: int) -> bool:
-        if len(self.apart) > 4 * REMEMBERED:
+        if len(self.apart) > REMEMBERED:
             self.apart.clear()
         self.apart[key] = said = self._stay_apart(a, b)
         return said
