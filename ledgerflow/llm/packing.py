@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.shared import stored
+from ledgerflow.llm.shared import ship, stored
 from ledgerflow.llm.tokens import token_ids
 from ledgerflow.llm.words import slices
 
@@ -129,6 +129,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids
                 ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "part", "local"],
             )
 
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
 

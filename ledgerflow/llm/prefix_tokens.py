@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.shared import ship
 from ledgerflow.llm.tokens import prefix_counts
 from ledgerflow.llm.words import slices
 
@@ -40,6 +41,7 @@ def count_prefixes(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 ["doc_id", "n_bytes", "n_tokens", "prefix_steps"],
             )
 
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
 
 

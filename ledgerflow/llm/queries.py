@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import packing, prefix_tokens
+from ledgerflow.llm import jaccard_join, line_rules, ngram_lm, oracle, packing, prefix_tokens, secrets, sharding
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Tokens of one training sequence.
@@ -19,17 +19,70 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Shards of the table.
+SHARDS = 40
+
+
+def op1_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.interleave(documents(spark, sf_dir), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+        "source", "fraction",
+    )
+
+
 def op2_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prefix_tokens.count_prefixes(documents(spark, sf_dir), TOKENIZER)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > SEQUENCE).alias("over_limit"))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    model = ngram_lm.train(docs.where(~held_out))
+    scores = ngram_lm.score(docs, model)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.totals[0][1]).cast("long").alias("train_tokens"),
+        "base_score", "score", ngram_lm.perplexity(F.col("score"), F.col("n_tokens")).alias("perplexity"),
+    )
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    spans = F.col("spans")
+    base = F.filter(spans, lambda x: x["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *(secrets.count_kind(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+    )
+
+
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return line_rules.assess(docs, line_rules.frequent_lines(docs))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_similar(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), TOKENIZER, SEQUENCE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_stratified_shards": op1_stratified_shards,
     "op2_prefix_tokens": op2_prefix_tokens,
+    "op3_kneser_ney": op3_kneser_ney,
+    "op4_secret_scan": op4_secret_scan,
+    "op6_line_rules": op6_line_rules,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_stratified_shards": oracle.SHARDS,
+    "op4_secret_scan": oracle.SECRETS,
+    "op8_jaccard_join": oracle.JACCARD,
+}

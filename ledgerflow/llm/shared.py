@@ -11,7 +11,9 @@ import mmap
 import os
 import tempfile
 import uuid
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -19,6 +21,29 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application, so that tasks can import
+    them wherever the driver found them."""
+    app, root = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
+    if app in _SHIPPED or not root.is_dir():
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="modules-"), f"{root.name}-modules.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of keys that are dealt out as arrays: a power of two, at least 64 and above twice the
+    session's shuffle partitions. Results do not depend on it."""
+    return max(64, 1 << (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+
+
 def shared_folder(spark: SparkSession, what: str) -> str:
     """A new folder name below `spark.checkpoint.dir`. Where that is unset, local mode (tests)
     chooses a temporary folder; a cluster must name one."""
