@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import jaccard_join, line_rules, ngram_lm, oracle, packing, prefix_tokens, secrets, sharding
+from ledgerflow.llm import (
+    chunk_dedup,
+    jaccard_join,
+    latent_decontam,
+    line_rules,
+    ngram_lm,
+    oracle,
+    packing,
+    prefix_tokens,
+    secrets,
+    sharding,
+    training_order,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Tokens of one training sequence.
@@ -59,11 +71,21 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards, index = training_order.materialise(documents(spark, sf_dir), TOKENIZER, SEQUENCE)
+    return training_order.with_checksums(index, shards)
+
+
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return line_rules.assess(docs, line_rules.frequent_lines(docs))
 
 
+def op7_repeated_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return chunk_dedup.repeated_spans(docs, chunk_dedup.find_repeats(docs))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_similar(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -72,14 +94,23 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), TOKENIZER, SEQUENCE)
 
 
+def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    space = latent_decontam.fit(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return latent_decontam.find_leaks(docs, space)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stratified_shards": op1_stratified_shards,
     "op2_prefix_tokens": op2_prefix_tokens,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_secret_scan": op4_secret_scan,
+    "op5_training_order": op5_training_order,
     "op6_line_rules": op6_line_rules,
+    "op7_repeated_chunks": op7_repeated_chunks,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_latent_decontamination": op10_latent_decontamination,
 }
 ORACLE: dict[str, str] = {
     "op1_stratified_shards": oracle.SHARDS,

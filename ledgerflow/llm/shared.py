@@ -119,3 +119,11 @@ def read_range(uri: str, start: int, size: int) -> bytes:
         return f.read_at(size, start)
 
 
+
+
+def file_size(uri: str) -> int | None:
+    """Bytes of a shared file; None if it is not there."""
+    if (path := _place(uri)) is not None:
+        return os.path.getsize(path) if os.path.exists(path) else None
+    store, path = pafs.FileSystem.from_uri(uri)
+    return store.get_file_info(path).size
