@@ -2,7 +2,7 @@
 
 A piece's place depends on its length and on how many pieces of that length come before it, so the
 pieces are numbered within their length, and best-fit decreasing runs once over the *histogram* of
-lengths: at most `capacity` rows, whatever the corpus. All pieces of one length that go into bins
+lengths: at most `capacity` rows, whatever the corpus. The pieces of one length that go into bins
 of one remaining capacity are placed in one step; a segment tree over remaining capacities finds
 the tightest open bins in logarithmic time. The steps are ranges (length, numbers -> bins, offset);
 each piece looks its range up. The outcome is that of best-fit decreasing over the whole corpus,
@@ -81,18 +81,18 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     for length in sorted(histogram, reverse=True):
         k, left = 0, histogram[length]
         while left:
-            if room := bins.tightest(length):
-                first, n = bins.take(room, left)
-                rows.append((length, k, first, capacity - room))
-                bins.put(room - length, first, n)
-                k, left = k + n, left - n
-                continue
-            fit = min(capacity // length, left)  # into each new bin
-            n = left // fit
+            # The tightest bin stays the tightest while it has room, so it takes as many as fit.
+            room = bins.tightest(length)
+            fit = min((room or capacity) // length, left)
+            if room:
+                first, n = bins.take(room, left // fit)
+            else:
+                room, first, n = capacity, used, left // fit
+                used += n
             for j in range(fit):
-                rows.append((length, k + j * n, used, j * length))
-            bins.put(capacity - fit * length, used, n)
-            used, k, left = used + n, k + fit * n, left - fit * n
+                rows.append((length, k + j * n, first, capacity - room + j * length))
+            bins.put(room - fit * length, first, n)
+            k, left = k + fit * n, left - fit * n
     return np.array(rows, np.int64).reshape(-1, 4)
 
 
