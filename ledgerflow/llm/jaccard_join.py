@@ -1,12 +1,12 @@
 """Exact self-join of documents whose n-gram sets have a Jaccard similarity of a threshold or more.
 
 The documents' n-gram incidence matrix is multiplied by its transpose block by block: a block is a
-range of n-gram hashes, and holds for each n-gram the documents that have it. Sums of products are
-overlap counts. Two bounds from the sizes keep the product sparse. A document takes part with the
-n-grams of its prefix only (the rarest n - ceil(t n) + 1 in one order for all documents): similar
-sets share one of those. And a pair goes on only if its counted overlap and all that may follow
-behind the longer prefix reach the overlap that its two sizes ask for. What is left is compared
-set by set.
+range of n-gram hashes, and holds for each n-gram the documents that have it. Bounds from the
+sizes keep the product sparse. A document takes part with the n-grams of its prefix only (the
+rarest n - ceil(t n) + 1 in one order for all documents): similar sets share one of those. And a
+pair is formed at an n-gram only if what lies behind it in either set could still add up to the
+overlap that the two sizes ask for: of two sets of one size, that is the first half of the prefix.
+What is left is compared by a longer part of the sets with the same bound, and then set by set.
 
 The order of the n-grams comes from a sketch of fixed size (document counts by hash slot): what
 very many documents share comes last and hardly ever lies in a prefix. The order decides how much
@@ -25,6 +25,7 @@ unless all its ids are NULL; only the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,13 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.components import components
 from ledgerflow.llm.hash_files import by_bucket, look_up, put_arrays
 from ledgerflow.llm.shared import bucket_count, shared_folder, ship, stored
-from ledgerflow.llm.words import Words, buffers, slices, spread, words_of
+from ledgerflow.llm.words import Words, runs, slices, spread, words_of
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Slots of the sketch, as a power of two; it takes one byte a slot where it is sent to tasks.
-SKETCH_BITS = 20
+#: Slots of the sketch, as a power of two: one byte a slot in each task and where it is sent to all.
+SKETCH_BITS = 22
+#: Hundredths of the sets, rarest n-grams first, that pairs are compared by before whole sets are sent.
+HEAD = 30
 _PARTS = 64
 #: Pairs of one list that are held at a time.
 _PAIRS = 1 << 20
@@ -75,16 +78,15 @@ def _sets(text: pa.Array, n: int) -> list[np.ndarray]:
     return [np.unique(grams[a:b]) for a, b in zip(at, at[1:], strict=False)]
 
 
-def _text_keys(text: pa.Array) -> np.ndarray:
-    data, offsets = buffers(text)
-    raw, at, h = data.tobytes(), offsets.tolist(), xxhash.xxh3_64_intdigest
-    return np.fromiter((h(raw[a:b]) for a, b in zip(at, at[1:], strict=False)), np.uint64, len(at) - 1)
-
-
 def _digest(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes(), 3)
 
 
+def _needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """The least overlap of linked sets of these sizes."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
 def _signatures(rows: DataFrame, n: int) -> DataFrame:
     """A row per document: its set's size and digest and its text's key; and rows of the sketch."""
 
@@ -100,8 +102,9 @@ def _signatures(rows: DataFrame, n: int) -> DataFrame:
             empty = pa.nulls(len(sets))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array(digest),
-                 pa.array(_text_keys(batch.column("text")).view(np.int64)), empty.cast(pa.int32()), empty.cast(pa.binary())], names
+                 batch.column("text_key"), empty.cast(pa.int32()), empty.cast(pa.binary())], names
             )
+        seen = np.minimum(seen, 255).astype(np.uint8)
         part = [seen[k::_PARTS].tobytes() for k in range(_PARTS)] if seen.any() else []
         none = [None] * len(part)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([none, none, none, none, list(range(len(part))), part], kinds, strict=True)], names)
@@ -116,7 +119,7 @@ def _frequency_classes(sketch: DataFrame) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.uint8).astype(np.int64)
         out = [(part, np.ceil(np.log2(np.maximum(x, 1))).astype(np.uint8).tobytes()) for part, x in total.items()]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())], ["part", "classes"])
 
@@ -126,72 +129,79 @@ def _frequency_classes(sketch: DataFrame) -> np.ndarray:
     return out
 
 
+def _rank(own: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The place of n-grams in the order of all: frequency class first, then hash."""
+    return order[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58) | own >> np.uint64(6)
+
+
 def _postings(rows: DataFrame, n: int, percent: int, classes, bits: int) -> DataFrame:
     """The prefix n-grams of each class, by bucket of the n-gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, sent = classes.value, set()
         for batch in slices(batches, "text"):
-            gram, digest, size = [], [], []
+            gram, digest, size, times = [], [], [], []
             for own in _sets(batch.column("text"), n):
                 if not len(own) or (d := _digest(own)) in sent:
                     continue
                 if len(sent) < 1 << 20:  # only spares copies; without it they are dropped in the bucket
                     sent.add(d)
                 count = len(own) + percent * len(own) // -100 + 1
-                rank = order[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(58) | own >> np.uint64(6)
-                head = own[np.argpartition(rank, count - 1)[:count]] if count < len(own) else own
-                gram.append(head)
+                rank = _rank(own, order)
+                head = np.argpartition(rank, count - 1)[:count] if count < len(own) else np.arange(count)
+                gram.append(own[head[np.argsort(rank[head])]])
                 digest.append(d)
                 size.append(len(own))
+                times.append(count)
             if not gram:
                 continue
-            times = np.array([len(g) for g in gram])
-            grams = np.concatenate(gram)
+            grams, times = np.concatenate(gram), np.array(times)
             digests, sizes = np.repeat(np.array(digest, np.uint64), times), np.repeat(np.array(size, np.uint32), times)
             at, there, heads = by_bucket(grams, bits)
-            columns = [[x[at[i:j]].tobytes() for i, j in zip(heads, heads[1:], strict=False)] for x in (grams, digests, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], ["bucket", "gram", "digest", "size"])
+            values = (grams, digests, sizes, runs(times).astype(np.uint32))
+            columns = [[x[at[i:j]].tobytes() for i, j in zip(heads, heads[1:], strict=False)] for x in values]
+            names = ["bucket", "gram", "digest", "size", "place"]
+            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names)
 
-    return rows.mapInArrow(run, "bucket int, gram binary, digest binary, size binary")
+    return rows.mapInArrow(run, "bucket int, gram binary, digest binary, size binary, place binary")
 
 
-LISTS = "bucket int, many binary, digest binary, size binary"
+LISTS = "bucket int, many binary, digest binary, size binary, place binary"
 
 
 def _lists(sent: DataFrame, buckets: int) -> DataFrame:
-    """The n-grams that two classes or more share: numbers of classes, the classes, their sizes. A
-    row holds some lists of a bucket; a list's classes go up in size, then digest."""
+    """The n-grams that two classes or more share: numbers of classes, the classes, their sizes, and
+    the n-gram's place in their order. A row holds some lists of a bucket; a list's classes go up in
+    size, then digest."""
 
     def merge(bucket: int, held: list[dict]) -> Iterator[pa.RecordBatch]:
         gram, digest = (np.concatenate([np.frombuffer(h[c], np.uint64) for h in held]) for c in ("gram", "digest"))
-        size = np.concatenate([np.frombuffer(h["size"], np.uint32) for h in held])
+        size, place = (np.concatenate([np.frombuffer(h[c], np.uint32) for h in held]) for c in ("size", "place"))
         order = np.argsort(gram, kind="stable")
         gram = gram[order]
         shared = np.zeros(len(gram), bool)
         shared[1:] = gram[1:] == gram[:-1]
         shared[:-1] |= shared[1:]
         order, gram = order[shared], gram[shared]
-        digest, size = digest[order], size[order]
+        digest, size, place = digest[order], size[order], place[order]
         order = np.lexsort((digest, size, gram))
-        gram, digest, size = gram[order], digest[order], size[order]
+        gram, digest, size, place = gram[order], digest[order], size[order], place[order]
         new = np.ones(len(gram), bool)
         new[1:] = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])
-        gram, digest, size = gram[new], digest[new], size[new]
+        gram, digest, size, place = gram[new], digest[new], size[new], place[new]
         heads = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
         many = np.diff(np.append(heads, len(gram)))
         keep = np.repeat(many > 1, many)
-        many, digest, size = many[many > 1], digest[keep], size[keep]
+        many, digest, size, place = many[many > 1], digest[keep], size[keep], place[keep]
         ends = np.cumsum(many)
         block = (ends - 1) // _PAIRS
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(many)]
         for i, j in zip(cuts, cuts[1:], strict=False):
             if j > i:
                 a, b = int(ends[i] - many[i]), int(ends[j - 1])
-                values = [many[i:j].astype(np.uint32), digest[a:b], size[a:b]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], ["bucket", "many", "digest", "size"]
-                )
+                values = [many[i:j].astype(np.uint32), digest[a:b], size[a:b], place[a:b]]
+                names = ["bucket", "many", "digest", "size", "place"]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([v.tobytes()], pa.binary()) for v in values)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -208,83 +218,101 @@ def _lists(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, LISTS)
 
 
-PAIRS = "a long, b long, size_a long, size_b long, counted long"
+PAIRS = "a long, b long"
+_NO_PAIRS = np.zeros(0, np.int64)
+
+
+@dataclass
+class Held:
+    """Lists of a bucket, one after another: numbers of classes, and of each the digest, the size and
+    the n-gram's place."""
+
+    many: np.ndarray
+    digest: np.ndarray
+    size: np.ndarray
+    place: np.ndarray
 
+    def possible(self, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+        """Whether x and y, which share this n-gram, can be linked if they share none before it: what
+        they have from here on must reach the overlap that their sizes ask for."""
+        need = _needed(self.size[x], self.size[y], percent)
+        return (self.size[x] - self.place[x] >= need) & (self.size[y] - self.place[y] >= need)
 
-def _pair_batch(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> pa.RecordBatch:
-    """Pairs whose sizes allow a link, each with the number of times it came."""
-    fits = 100 * np.minimum(size_a, size_b).astype(np.int64) >= percent * np.maximum(size_a, size_b).astype(np.int64)
-    a, b, size_a, size_b = a[fits], b[fits], size_a[fits], size_b[fits]
-    swap = a > b
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    size_a, size_b = np.where(swap, size_b, size_a), np.where(swap, size_a, size_b)
-    order = np.lexsort((b, a))
-    a, b, size_a, size_b = a[order], b[order], size_a[order], size_b[order]
-    heads = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-    n = np.diff(np.append(heads, len(a)))
-    columns = [a[heads].view(np.int64), b[heads].view(np.int64), size_a[heads].astype(np.int64), size_b[heads].astype(np.int64), n.astype(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "size_a", "size_b", "counted"])
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        """Each pair of classes once."""
+        a, b = np.minimum(self.digest[x], self.digest[y]), np.maximum(self.digest[x], self.digest[y])
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return pa.RecordBatch.from_arrays([pa.array(a[new].view(np.int64)), pa.array(b[new].view(np.int64))], ["a", "b"])
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[Held]:
     for batch in batches:
         for row in batch.to_pylist():
-            yield np.frombuffer(row["many"], np.uint32).astype(np.int64), np.frombuffer(row["digest"], np.uint64), np.frombuffer(row["size"], np.uint32)
+            many, size, place = (np.frombuffer(row[c], np.uint32).astype(np.int64) for c in ("many", "size", "place"))
+            yield Held(many, np.frombuffer(row["digest"], np.uint64), size, place)
 
 
-def _stars(lists: DataFrame, percent: int) -> DataFrame:
-    """Each class of a list with the class of the least digest there."""
+def _shares(lists: DataFrame, percent: int) -> DataFrame:
+    """(key, value) for each class of the lists: its digest, and the share of its prefix that other
+    classes have too, in thousandths, with ties left to the digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for many, digest, size in _unpacked(batches):
-            heads = np.cumsum(many) - many
-            of = np.repeat(np.arange(len(many)), many)
-            least = np.minimum.reduceat(digest, heads)
-            centre = np.flatnonzero(digest == least[of])  # one a list: digests differ within it
-            pick = np.repeat(centre, many)
-            other = digest != digest[pick]
-            yield _pair_batch(digest[pick][other], digest[other], size[pick][other], size[other], percent)
+        for held in _unpacked(batches):
+            own, first, n = np.unique(held.digest, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(held.size[first]), pa.array(n)], ["key", "size", "n"])
 
-    return lists.mapInArrow(run, PAIRS)
+    counted = lists.mapInArrow(run, "key long, size long, n long").groupBy("key", "size").agg(F.sum("n").alias("n"))
+    prefix = F.expr(f"size - ({percent} * size + 99) div 100 + 1")
+    return counted.select("key", F.floor(1000 * F.col("n") / prefix).cast("long").alias("value"))
+
+
+def _stars(lists: DataFrame, percent: int, folder: str, files: frozenset[int], bits: int) -> DataFrame:
+    """Each class of a list with one of them: the one that shares most of its prefix with others. Of
+    a text and its near copies that is the text itself, whose n-grams are nowhere its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _unpacked(batches):
+            share, _ = look_up(folder, files, bits, spread(held.digest))
+            of = np.repeat(np.arange(len(held.many)), held.many)
+            order = np.lexsort((held.digest, -share.astype(np.int64), of))
+            centre = np.repeat(order[np.cumsum(held.many) - held.many], held.many)
+            other = np.arange(len(centre))
+            pick = (other != centre) & held.possible(centre, other, percent)
+            yield held.pairs(centre[pick], other[pick])
+
+    return lists.mapInArrow(run, PAIRS).distinct()
 
 
 def _between(lists: DataFrame, percent: int, folder: str, files: frozenset[int], bits: int) -> DataFrame:
     """The pairs of each list that lie in different components."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for many, digest, size in _unpacked(batches):
-            label, known = look_up(folder, files, bits, spread(digest))
-            label = np.where(known, label, digest)
-            heads = np.cumsum(many) - many
+        for held in _unpacked(batches):
+            label, known = look_up(folder, files, bits, spread(held.digest))
+            label = np.where(known, label, held.digest)
+            heads = np.cumsum(held.many) - held.many
             mixed = np.minimum.reduceat(label, heads) != np.maximum.reduceat(label, heads)
-            held, total = [], 0
+            x_all, y_all, total = [_NO_PAIRS], [_NO_PAIRS], 0
             for k in np.flatnonzero(mixed).tolist():
-                i, j = int(heads[k]), int(heads[k] + many[k])
+                i, j = int(heads[k]), int(heads[k] + held.many[k])
                 # Sizes go up, so the partners that may fit a class follow it directly.
-                last = i + np.searchsorted(size[i:j], 100 * size[i:j].astype(np.int64) // percent, "right")
+                last = i + np.searchsorted(held.size[i:j], 100 * held.size[i:j] // percent, "right")
                 for x in range(i, j):
                     y = np.arange(x + 1, last[x - i])
-                    y = y[label[y] != label[x]]
+                    y = y[(label[y] != label[x]) & held.possible(np.full(len(y), x), y, percent)]
                     if len(y):
-                        held.append((np.full(len(y), x), y))
+                        x_all.append(np.full(len(y), x))
+                        y_all.append(y)
                         total += len(y)
                     if total > _PAIRS:
-                        x_all, y_all = (np.concatenate(v) for v in zip(*held, strict=True))
-                        yield _pair_batch(digest[x_all], digest[y_all], size[x_all], size[y_all], percent)
-                        held, total = [], 0
-            if held:
-                x_all, y_all = (np.concatenate(v) for v in zip(*held, strict=True))
-                yield _pair_batch(digest[x_all], digest[y_all], size[x_all], size[y_all], percent)
+                        yield held.pairs(np.concatenate(x_all), np.concatenate(y_all))
+                        x_all, y_all, total = [_NO_PAIRS], [_NO_PAIRS], 0
+            yield held.pairs(np.concatenate(x_all), np.concatenate(y_all))
 
-    return lists.mapInArrow(run, PAIRS)
-
-
-def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose overlap, added up over all blocks, can reach what their sizes ask for."""
-    added = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("counted").alias("counted"))
-    behind = F.expr(f"({percent} * greatest(size_a, size_b) + 99) div 100 - 1")
-    needed = F.expr(f"({percent} * (size_a + size_b) + {99 + percent}) div {100 + percent}")
-    return added.where(F.col("counted") + behind >= needed).select("a", "b")
+    return lists.mapInArrow(run, PAIRS).distinct()
 
 
 def _write_files(values: DataFrame, buckets: int, what: str) -> tuple[str, frozenset[int], int]:
@@ -324,8 +352,9 @@ def _write_files(values: DataFrame, buckets: int, what: str) -> tuple[str, froze
     return folder, frozenset(r["bucket"] for r in written.collect()), bits  # one row a file
 
 
-def _compare(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, buckets: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+def _compare(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, buckets: int, order, share: int) -> DataFrame:
+    """The pairs whose sets are similar enough; with a `share` under 100, those that may be as far as
+    the first hundredths of both sets tell."""
     needed = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
     wanted = classes.join(needed, "digest").select(F.col("text_key").alias("key"), F.col("digest").alias("value"))
     folder, files, bits = _write_files(wanted, buckets, "wanted-texts")
@@ -333,66 +362,78 @@ def _compare(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perc
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = set()
         for batch in slices(batches, "text"):
-            _, known = look_up(folder, files, bits, spread(_text_keys(batch.column("text"))))
+            _, known = look_up(folder, files, bits, spread(batch.column("text_key").to_numpy().view(np.uint64)))
             if not known.any():
                 continue
-            sets = _sets(batch.column("text").filter(pa.array(known)), n)
             out = []
-            for own in sets:
-                if (d := _digest(own)) not in sent:
+            for own in _sets(batch.column("text").filter(pa.array(known)), n):
+                if len(own) and (d := _digest(own)) not in sent:
                     sent.add(d)
-                    out.append((d, own.tobytes()))
-            digest = np.array([d for d, _ in out], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(digest), pa.array([s for _, s in out], pa.binary())], ["digest", "grams"])
+                    head = own
+                    if share < 100:
+                        head = own[np.argsort(_rank(own, order.value))[: -(-share * len(own) // 100)]]
+                    out.append((d, len(own), head.tobytes()))
+            digest = np.array([d for d, _, _ in out], np.uint64).view(np.int64)
+            columns = [pa.array(digest), pa.array([k for _, k, _ in out], pa.int64()), pa.array([s for _, _, s in out], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "size", "grams"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
-                own, other = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.sort(np.concatenate([own, other]))
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(own) + len(other) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            size_a, size_b = batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy()
+            same = np.zeros(batch.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(batch.column("grams_a"), batch.column("grams_b"), strict=True)):
+                both = np.sort(np.concatenate([np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)]))
+                same[k] = (both[1:] == both[:-1]).sum()
+            # Behind the shorter of the two heads (in the order of all) lies the rest of its set.
+            behind = np.maximum(size_a, size_b) - -(-share * np.maximum(size_a, size_b) // 100)
+            yield batch.select(["a", "b"]).filter(pa.array(same + behind >= _needed(size_a, size_b, percent)))
 
-    sets = stored(rows.mapInArrow(fetch, "digest long, grams binary").dropDuplicates(["digest"]), "sets")
-    with_b = pairs.join(sets.select(F.col("digest").alias("b"), F.col("grams").alias("grams_b")), "b")
-    with_both = with_b.join(sets.select(F.col("digest").alias("a"), F.col("grams").alias("grams_a")), "a")
-    return with_both.select("a", "b", "grams_a", "grams_b").mapInArrow(compare, "a long, b long")
+    sets = stored(rows.mapInArrow(fetch, "digest long, size long, grams binary").dropDuplicates(["digest"]), "sets")
+    one, two = (sets.select(F.col("digest").alias(x), F.col("size").alias(f"size_{x}"), F.col("grams").alias(f"grams_{x}")) for x in "ab")
+    both = pairs.join(two, "b").join(one, "a").select("a", "b", "size_a", "size_b", "grams_a", "grams_b")
+    return stored(both.mapInArrow(compare, "a long, b long"), "links")
 
 
 def join_similar(
     docs: DataFrame, percent: int = 85, n: int = 4, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, digest of each row: the size of its set of n-grams, the
-    least id of its component, and the key of its class. `percent`: the least Jaccard similarity in
+    """doc_id, n_shingles, component_id, text_key, label of each row: the size of its set of n-grams,
+    the least id of its component, the 64-bit hash of its text, and a number that the rows of a
+    component share (NULL without n-grams). `percent`: the least Jaccard similarity in
     hundredths. `buckets` (a power of two, see `bucket_count`): blocks of the product."""
     spark = docs.sparkSession
     ship(spark)
     buckets = buckets or bucket_count(spark)
     bits = buckets.bit_length() - 1
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     found = stored(_signatures(rows, n), "signatures")
     of_docs = found.where("part is null").select("doc_id", "size", "digest", "text_key")
     classes = of_docs.where("size > 0").groupBy("digest").agg(F.min("text_key").alias("text_key"))
     order = spark.sparkContext.broadcast(_frequency_classes(found.where("part is not null")))  # 2**SKETCH_BITS bytes
-    texts = rows.select("text")
+    texts = rows.select("text", "text_key")
     lists = stored(_lists(_postings(texts, n, percent, order, bits), buckets), "lists")
 
-    first = stored(_candidates(_stars(lists, percent), percent), "pairs")
-    links = stored(_compare(texts, classes, first, n, percent, buckets), "links")
+    shares = _write_files(_shares(lists, percent), buckets, "shares")
+    first = stored(_stars(lists, percent, *shares), "pairs")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        likely = _compare(texts, classes, pairs, n, percent, buckets, order, HEAD)
+        return _compare(texts, classes, likely, n, percent, buckets, order, 100)
+
+    links = compared(first)
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = stored(components(edges), "labels")
     files = _write_files(labels.select(F.col("node").alias("key"), F.col("label").alias("value")), buckets, "labels")
-    rest = stored(_candidates(_between(lists, percent, *files), percent).join(first, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(_between(lists, percent, *files).join(first, ["a", "b"], "left_anti"), "pairs")
     if rest.limit(1).count():
-        more = stored(_compare(texts, classes, rest, n, percent, buckets), "links")
+        more = compared(rest)
         edges = edges.union(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
         labels = stored(components(edges), "labels")
 
     named = of_docs.where("size > 0").join(labels.withColumnRenamed("node", "digest"), "digest", "left")
-    named = stored(named.select("doc_id", "size", "digest", F.coalesce("label", "digest").alias("label")), "named")
+    named = stored(named.select("doc_id", "size", "text_key", F.coalesce("label", "digest").alias("label")), "named")
     names = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    linked = named.join(names, "label").select("doc_id", F.col("size").alias("n_shingles"), "component_id", "digest")
-    empty = of_docs.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "digest")
+    linked = named.join(names, "label").select("doc_id", F.col("size").alias("n_shingles"), "component_id", "text_key", "label")
+    empty = of_docs.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key", F.lit(None).cast("long").alias("label"))
     return linked.union(empty)

@@ -1,14 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval, with checks by common subsequence.
 
-1. Weights: idf of every benchmark word from the document counts of the whole corpus.
+1. Weights: idf of every benchmark word from the document counts of the whole corpus. Vectors use
+   its square, which leaves a passage's rare words to decide.
 2. Space: a randomised SVD of the TF-IDF matrix of the benchmark's passages, in tasks over its
-   passages and words: Y = A G for a seeded random G that is made from the words' hashes, two
-   rounds of Y = A (A' Q) to sharpen it, orthogonalised through small Gram matrices, and the
+   passages and words: Y = A G for a seeded random G that is made from the words' hashes, a
+   round of Y = A (A' Q) to sharpen it, orthogonalised through small Gram matrices, and the
    eigenvectors of B B' for B = Q' A. The benchmark spans the space, not the corpus: the corpus's
    own main directions are its frequent words, and leave out the rare ones that tell passages apart.
 3. Search: every window of `WINDOW` words of every text, `STEP` apart, is folded into the space, and
-   compared with all passages in blocks; cosines of `COSINE` and more are candidates. A passage of
-   up to WINDOW - STEP words lies whole in some window.
+   compared with all passages in blocks. A candidate has a cosine of `COSINE` or more and holds
+   `CONTAINED` or more of the passage's length in the passage's direction (a window with hardly any
+   benchmark words has a direction, but no length). A passage of up to WINDOW - STEP words lies
+   whole in some window.
 4. Checks: the longest common subsequence of the words of passage and window, weighted by idf, as
    a share of the passage; and the same for the passage's answer. A verbatim or nearly verbatim
    passage passes by the first alone, a paraphrase needs both.
@@ -42,10 +45,10 @@ WINDOW, STEP = 96, 32
 PASSAGE = WINDOW - STEP
 #: Directions of the latent space, and further ones while it is computed.
 RANK, SPARE = 128, 16
-#: Least cosine of a candidate in the latent space.
-COSINE = 0.35
-#: Least weighted share in common: alone, and together with the same share of the answer.
-VERBATIM, PARAPHRASE, ANSWER = 0.75, 0.5, 0.5
+#: Least cosine of a candidate in the latent space, and least part of the passage's length.
+COSINE, CONTAINED = 0.3, 0.3
+#: Least weighted share in common: alone, and together with a share of the answer.
+VERBATIM, PARAPHRASE, ANSWER = 0.65, 0.5, 0.5
 #: Passages that are compared with the windows at a time.
 _BLOCK = 4096
 
@@ -208,7 +211,7 @@ def _turned(vectors: DataFrame, key: str, side: int, by: np.ndarray) -> DataFram
     return vectors.mapInArrow(run, f"{key} long, v binary")
 
 
-def randomised_svd(entries: DataFrame, rank: int = RANK, spare: int = SPARE, rounds: int = 2, seed: int = 0) -> tuple[DataFrame, np.ndarray]:
+def randomised_svd(entries: DataFrame, rank: int = RANK, spare: int = SPARE, rounds: int = 1, seed: int = 0) -> tuple[DataFrame, np.ndarray]:
     """Right singular vectors of a sparse matrix given as rows (row, col, weight), as rows (col, v) of
     float64 bytes, and the singular values. Only matrices of `rank + spare` squared reach the driver."""
     ship(entries.sparkSession)
@@ -264,7 +267,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, item_col: str =
     entries = spark.createDataFrame(pa.table({"row": np.zeros(0, np.int64), "col": np.zeros(0, np.int64), "weight": np.zeros(0)}).to_pandas(), "row long, col long, weight double")
     if rows:
         cells, tf = np.unique(np.repeat(np.arange(len(rows)), size) << 32 | np.concatenate(place), return_counts=True)
-        weight = tf * idf[cells & 0xFFFFFFFF]
+        weight = tf * idf[cells & 0xFFFFFFFF] ** 2
         norm = np.sqrt(np.bincount(cells >> 32, weight**2, len(rows)))[cells >> 32]
         entries = spark.createDataFrame(pa.table({"row": cells >> 32, "col": cells & 0xFFFFFFFF, "weight": weight / norm}))
     rank = max(1, min(rank, len(rows), len(known)))
@@ -272,10 +275,9 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, item_col: str =
     directions = np.zeros((len(known), rank), np.float32)
     for r in vectors.collect():  # a row a benchmark word
         directions[r["col"]] = np.frombuffer(r["v"])
-    directions *= idf[:, None].astype(np.float32)
+    directions *= (idf**2)[:, None].astype(np.float32)
 
     own = np.array([directions[p].sum(0) for p in place], np.float32).reshape(len(rows), rank)
-    own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
     told = [np.searchsorted(known, r[3]) for r in rows]
     put_arrays(f"{folder}/words", known, idf, directions.ravel())
     ids = np.array([r[0] if r[0] is not None else np.iinfo(np.int64).min for r in rows], np.int64)
@@ -292,6 +294,7 @@ class Searcher:
         self.words = np.split(words, np.cumsum(size)[:-1]) if len(size) else []
         self.answers = np.split(answers, np.cumsum(told)[:-1]) if len(told) else []
         self.own = own.reshape(-1, space.rank)
+        self.length = np.maximum(np.linalg.norm(self.own, axis=1), 1e-12)
 
     def _places(self, found: Words) -> np.ndarray:
         """The place of each word in the benchmark's vocabulary; its length for other words."""
@@ -334,12 +337,13 @@ class Searcher:
         # A window that begins behind a text's first one and has fewer blocks lies inside another.
         keep = (number == 0) | (number + span <= blocks[text])
         text, number, windows = text[keep], number[keep], windows[keep]
-        norm = np.linalg.norm(windows, axis=1)
-        windows /= np.maximum(norm, 1e-12)[:, None]
+        length = np.maximum(np.linalg.norm(windows, axis=1), 1e-12)
         for b in range(0, len(self.own), _BLOCK):
-            block = self.own[b : b + _BLOCK]
+            unit = (self.own[b : b + _BLOCK] / self.length[b : b + _BLOCK, None]).T
             for i in range(0, len(windows), 1 << 14):
-                for w, k in zip(*np.nonzero(windows[i : i + (1 << 14)] @ block.T >= COSINE), strict=True):
+                along = windows[i : i + (1 << 14)] @ unit  # the window's length in the passage's direction
+                near = (along >= COSINE * length[i : i + (1 << 14), None]) & (along >= CONTAINED * self.length[b : b + _BLOCK])
+                for w, k in zip(*np.nonzero(near), strict=True):
                     d, at = int(text[i + w]), int(number[i + w]) * STEP
                     end = min(at + WINDOW, int(n[d]))
                     words = place[found.first[d] + at : found.first[d] + end]

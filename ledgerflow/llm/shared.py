@@ -39,9 +39,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def bucket_count(spark: SparkSession) -> int:
-    """Buckets of keys that are dealt out as arrays: a power of two, at least 64 and above twice the
-    session's shuffle partitions. Results do not depend on it."""
-    return max(64, 1 << (2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    """Buckets of keys that are dealt out as arrays: the session's shuffle partitions, rounded up to a
+    power of two, and at least 128. Results do not depend on it."""
+    return max(128, 1 << (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
