@@ -50,7 +50,7 @@ COSINE, CONTAINED = 0.3, 0.3
 #: Least weighted share in common: alone, and together with a share of the answer.
 VERBATIM, PARAPHRASE, ANSWER = 0.65, 0.5, 0.5
 #: Passages that are compared with the windows at a time.
-_BLOCK = 4096
+_BLOCK = 1024
 
 _LETTER = np.zeros(256, bool)  # what words are made of; bytes beyond ASCII belong to letters
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -323,7 +323,7 @@ class Searcher:
         number = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         heads = found.first[text] + number * STEP
         of_block = np.zeros((len(heads), self.own.shape[1]), np.float32)
-        group = max(1, (1 << 18) // STEP)
+        group = max(1, (1 << 16) // STEP)
         ends = np.append(heads[1:], len(place))
         for i in range(0, len(heads), group):
             j = min(i + group, len(heads))
@@ -340,9 +340,9 @@ class Searcher:
         length = np.maximum(np.linalg.norm(windows, axis=1), 1e-12)
         for b in range(0, len(self.own), _BLOCK):
             unit = (self.own[b : b + _BLOCK] / self.length[b : b + _BLOCK, None]).T
-            for i in range(0, len(windows), 1 << 14):
-                along = windows[i : i + (1 << 14)] @ unit  # the window's length in the passage's direction
-                near = (along >= COSINE * length[i : i + (1 << 14), None]) & (along >= CONTAINED * self.length[b : b + _BLOCK])
+            for i in range(0, len(windows), 1 << 12):
+                along = windows[i : i + (1 << 12)] @ unit  # the window's length in the passage's direction
+                near = (along >= COSINE * length[i : i + (1 << 12), None]) & (along >= CONTAINED * self.length[b : b + _BLOCK])
                 for w, k in zip(*np.nonzero(near), strict=True):
                     d, at = int(text[i + w]), int(number[i + w]) * STEP
                     end = min(at + WINDOW, int(n[d]))

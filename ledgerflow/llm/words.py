@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are worked on at a time (a longer text makes a longer slice).
-SLICE = 16 << 20
+SLICE = 6 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
