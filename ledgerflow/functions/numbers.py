@@ -3,7 +3,9 @@
 Money and scores arrive as doubles with a known number of decimals. Adding doubles gives a
 result that depends on the order of the additions, that is on the partitioning. The helpers
 below add whole units (cents, micro-points) as BIGINT instead: exact, order-free, and cheaper
-than wide decimals because the running sum stays a primitive in the hash aggregate.
+than wide decimals because the running sums stay primitives in the hash aggregate. Units are added
+in two parts, millions and the rest, and brought together once per group as a decimal, so no sum
+of amounts overflows. An amount that is not a number makes its sum one that is not.
 """
 
 from __future__ import annotations
@@ -21,17 +23,45 @@ def units(c: Column, scale: int = MONEY) -> Column:
     return F.floor(c * F.lit(float(10**scale)) + F.lit(0.5))
 
 
+_MILLION = 1_000_000
+#: Amounts from here on leave the range of whole units; their parts are taken as doubles.
+_LARGE = 9e14
+
+
+def sum_units(c: Column, scale: int = MONEY, where: Column | None = None) -> Column:
+    """SUM of whole units as DECIMAL(38,0); NaN amounts count 0 here (see `exact_sum`)."""
+    c = F.nanvl(c.cast("double"), F.lit(0.0))
+    large = F.abs(c) >= F.lit(_LARGE)
+    u = units(c, scale)
+    per_million = F.lit(float(10**scale) / _MILLION)
+    high = F.when(large, F.floor(c * per_million)).otherwise(F.floor(u / F.lit(float(_MILLION))))
+    rest = F.floor((c - high / per_million) * F.lit(float(10**scale)))
+    low = F.when(large, rest).otherwise(u - high * _MILLION)
+    if where is not None:
+        high, low = (F.when(where, x).otherwise(F.lit(0)) for x in (high, low))
+    return (F.sum(high).cast("decimal(31,0)") * F.lit(_MILLION)).cast("decimal(38,0)") + F.sum(low)
+
+
 def round_units(c: Column, scale: int = MONEY) -> Column:
     """`c` rounded half up to `scale` decimals, without leaving primitive arithmetic."""
     return units(c, scale) / F.lit(float(10**scale))
 
 
 def exact_sum(c: Column, scale: int = MONEY, where: Column | None = None) -> Column:
-    """SUM over units; with `where`, rows that do not satisfy it add 0."""
-    u = units(c, scale)
-    if where is not None:
-        u = F.when(where, u).otherwise(F.lit(0))
-    return F.sum(u) / F.lit(float(10**scale))
+    """SUM over units; with `where`, rows that do not satisfy it add 0. NaN if an amount is NaN."""
+    total = sum_units(c, scale, where).cast("double") / F.lit(float(10**scale))
+    no_number = F.isnan(c) if where is None else F.isnan(c) & where
+    return F.when(F.max(no_number), F.lit(float("nan"))).otherwise(total)
+
+
+def decimal_sum(c: Column) -> Column:
+    """SUM at 8 decimals, for prices and volumes of coins; the rows are few."""
+    return F.sum(c.cast("decimal(28,8)")).cast("double")
+
+
+def decimal_avg(c: Column) -> Column:
+    """AVG at 8 decimals; NULL rows are left out."""
+    return F.try_divide(decimal_sum(c), F.count(c))
 
 
 def exact_avg(c: Column, scale: int = MONEY) -> Column:

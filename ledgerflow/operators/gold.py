@@ -105,10 +105,12 @@ def fraud_analytics(
 ) -> DataFrame:
     """Per day, risk class and corridor, with the group's share of its day.
 
-    With `max_ids`, adds that many example ids, the smallest ones. The rank filter is pushed
-    below the shuffle, so a task never receives more than `max_ids` ids per group and input
+    With `max_ids` (up to 1000), adds that many example ids, the smallest ones. The rank filter is
+    pushed below the shuffle, so a task never receives more than `max_ids` ids per group and input
     partition. The whole list of ids is `fraud_members`.
     """
+    if max_ids is not None and max_ids > 1000:
+        raise ValueError("example ids are limited to 1000; fraud_members has all of them")
     keys = _fraud_keys(date_col)
     groups = silver.groupBy(*keys).agg(
         F.count("transaction_id").alias("risk_transaction_count"),
@@ -169,7 +171,7 @@ def daily_kpis(silver: DataFrame, date_col: str = "event_date") -> DataFrame:
     )
 
     def total(name: str, scale: int) -> Column:
-        return F.sum(name).cast("double") / F.lit(float(10**scale))
+        return F.sum(c(name).cast("decimal(38,0)")).cast("double") / F.lit(float(10**scale))
 
     days = grain.groupBy(date_col).agg(
         F.sum("n").alias("daily_transaction_volume"),
@@ -247,6 +249,7 @@ GOLD_TABLES = {
     "transaction_summary": daily_summary,
     "country_flows": country_flows,
     "fraud_analytics": fraud_analytics,
+    "fraud_members": fraud_members,
     "business_kpis": daily_kpis,
     "hourly_trends": lambda silver, date_col="event_date": hourly_trends(
         silver, date_col=date_col

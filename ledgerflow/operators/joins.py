@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.numbers import SCORE, units
+from ledgerflow.functions.numbers import SCORE, exact_sum, sum_units, units
 
 c = F.col
 
@@ -38,7 +38,7 @@ def users_tx_join(
     )
     totals = mine.groupBy("user_id").agg(
         F.count("transaction_id").alias("transaction_count"),
-        (F.sum(units(c("usd_amount"))) / F.lit(100.0)).alias("total_volume"),
+        exact_sum(c("usd_amount")).alias("total_volume"),
         F.try_divide(F.sum("risk_score").cast("double"), F.count("risk_score")).alias("avg_risk_score"),
         F.count_if(c("is_suspicious") == 1).alias("suspicious_count"),
     )
@@ -58,7 +58,7 @@ def price_tx_join(prices: DataFrame, tx: DataFrame) -> DataFrame:
     )
     traded = tx.groupBy(c("crypto_currency").alias("symbol")).agg(
         F.count("transaction_id").alias("__n"),
-        F.sum(units(c("usd_amount"))).alias("__usd"),
+        sum_units(c("usd_amount")).alias("__usd"),
         F.count("usd_amount").alias("__usd_n"),
     )
     return (
@@ -66,8 +66,8 @@ def price_tx_join(prices: DataFrame, tx: DataFrame) -> DataFrame:
         .withColumns(
             {
                 "platform_transactions": F.coalesce(c("__n") * c("__rows"), F.lit(0)),
-                "platform_volume": c("__usd") * c("__rows") / F.lit(100.0),
-                "avg_amount": F.try_divide(c("__usd") / F.lit(100.0), c("__usd_n")),
+                "platform_volume": (c("__usd") * c("__rows").cast("decimal(19,0)")).cast("double") / F.lit(100.0),
+                "avg_amount": F.try_divide(c("__usd").cast("double") / F.lit(100.0), c("__usd_n")),
             }
         )
         .drop("__rows", "__n", "__usd", "__usd_n")
@@ -85,10 +85,15 @@ def latest_by(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
 
 
 def one_latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the last in `order`: `row_number() = 1` without sorting whole keys."""
-    others = [x for x in df.columns if x not in keys]
-    top = F.max(F.struct(*order, *[x for x in others if x not in order])).alias("__row")
-    return df.groupBy(*keys).agg(top).select(*[c(k) for k in keys], "__row.*").select(df.columns)
+    """One row per key, the last in `order`: `row_number() = 1` without sorting whole keys.
+
+    The greatest first value of a key is found by a hash aggregate; only rows that carry it go on to
+    the comparison of whole rows. Keys must not be NULL in rows that are to come out.
+    """
+    df = latest_by(df, keys, order[0])
+    others = [x for x in df.columns if x not in keys and x not in order]
+    last = Window.partitionBy(*keys).orderBy(*[F.desc(x) for x in (*order, *others)])
+    return df.withColumn("__rank", F.row_number().over(last)).where("__rank = 1").drop("__rank")
 
 
 def with_share(df: DataFrame, part: str, total: DataFrame, name: str) -> DataFrame:
@@ -127,7 +132,7 @@ def sender_features(
     is_night = F.hour("event_ts") < 6 if night is None else night
     grouped = tx.groupBy(user).agg(
         F.count("transaction_id").alias("transaction_count"),
-        (F.sum(units(c("usd_amount"))) / F.lit(100.0)).alias("total_sent"),
+        exact_sum(c("usd_amount")).alias("total_sent"),
         F.max("usd_amount").alias("max_sent"),
         F.try_divide(
             F.sum(units(c("aml_score"), SCORE)) / F.lit(1e6), F.count("aml_score")

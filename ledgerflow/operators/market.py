@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow import fixed
 from ledgerflow.functions.labels import map_coin
-from ledgerflow.functions.numbers import exact_avg, exact_sum
+from ledgerflow.functions.numbers import decimal_avg, decimal_sum
 from ledgerflow.operators.quality import fill_zero, valid_dates
 
 c = F.col
@@ -22,14 +22,14 @@ def combine_markets(frames: Sequence[DataFrame], date: str, processed_at: Column
     return union.withColumns({"date": F.lit(date).cast("date"), "processed_at": processed_at})
 
 
-def market_daily(candles: DataFrame, scale: int = 2) -> DataFrame:
+def market_daily(candles: DataFrame) -> DataFrame:
     """Per day, coin and market. Closing prices are baht on `th`, dollars on `global`.
 
-    Prices and volumes are added in units of 10^-scale; raise it for finer-grained coins.
+    Prices and volumes are added at the exchanges' precision of 8 decimals.
     """
 
     def close_in(market: str) -> Column:
-        return exact_avg(F.when(c("market") == market, c("close")), scale)
+        return decimal_avg(F.when(c("market") == market, c("close")))
 
     return (
         candles.withColumns({"date": F.to_date("open_time"), "coin": map_coin(c("symbol"))})
@@ -37,8 +37,8 @@ def market_daily(candles: DataFrame, scale: int = 2) -> DataFrame:
         .agg(
             close_in("th").alias("avg_price_thb"),
             close_in("global").alias("avg_price_usd"),
-            exact_sum(c("volume"), scale).alias("total_volume"),
-            exact_sum(c("quote_volume"), scale).alias("total_quote_volume"),
+            decimal_sum(c("volume")).alias("total_volume"),
+            decimal_sum(c("quote_volume")).alias("total_quote_volume"),
             F.sum(c("num_trades").cast("bigint")).alias("total_trades"),
         )
     )
@@ -142,7 +142,7 @@ def daily_dominance(pivot: DataFrame, coins: Sequence[str] = fixed.PIVOT_COINS)
 
 
 def market_gold(
-    candles: DataFrame, as_of: Column, coins: Sequence[str] = fixed.PIVOT_COINS, scale: int = 2
+    candles: DataFrame, as_of: Column, coins: Sequence[str] = fixed.PIVOT_COINS
 ) -> DataFrame:
     """Candles to the daily summary, one lazy chain."""
-    return dominance(coin_pivot(clean_market(market_daily(candles, scale), as_of), coins), coins)
+    return dominance(coin_pivot(clean_market(market_daily(candles), as_of), coins), coins)

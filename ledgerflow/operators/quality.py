@@ -159,6 +159,17 @@ def narrow(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: cast(c, t) for c, t in types.items() if c in given})
 
 
+def narrow_rejects(df: DataFrame, types: Mapping[str, str], keep: Sequence[str]) -> DataFrame:
+    """What `narrow` cannot hold: the `keep` columns, the column's name and its value as text."""
+    given = [c for c in types if c in df.columns]
+    cast = narrow(df.withColumns({f"__{c}": F.col(c) for c in given}), types)
+    lost = [
+        F.when(F.col(c).isNull() & F.col(f"__{c}").isNotNull(), F.struct(F.lit(c).alias("column"), F.col(f"__{c}").cast("string").alias("value")))
+        for c in given
+    ]
+    return cast.select(*keep, F.explode(F.array_compact(F.array(*lost))).alias("__lost")).select(*keep, "__lost.*")
+
+
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.na.fill(0, subset=list(cols))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.numbers import units
@@ -26,9 +26,10 @@ def extract_users(
     """One account per id seen as sender or receiver.
 
     The attributes come from the first appearance in (time, transaction id, sender before
-    receiver). Volume is all sent plus half of all received dollars. Both are map-side
-    aggregates per (user, coin), so an account with very many transfers stays cheap; the coin
-    list is then built from one row per coin of the user.
+    receiver); a country missing on its side is taken from `country`, if there is such a column.
+    Volume is all sent plus half of all received dollars; the coins are the ones of most volume,
+    then by name. The earliest time and the sums are hash aggregates, so an account with very many
+    transfers stays cheap; only the rows of the earliest time are compared in full.
     """
     cents = F.coalesce(units(c("usd_amount")), F.lit(0))
     risk = (
@@ -39,7 +40,7 @@ def extract_users(
         return F.struct(
             c(f"{side}_user_id").alias("user_id"),
             F.lit(n).alias("role"),
-            F.coalesce(c(f"{side}_country"), F.lit(home)).alias("country"),
+            F.coalesce(c(f"{side}_country"), *([c("country")] if "country" in tx.columns else []), F.lit(home)).alias("country"),
             F.coalesce(c(f"{side}_kyc_level"), F.lit(2)).cast("bigint").alias("kyc_level"),
             F.coalesce(c(exchange), F.lit("Unknown")).alias("exchange"),
             (cents * F.lit(weight)).alias("half_cents"),
@@ -59,26 +60,27 @@ def extract_users(
         )
         .where(F.length("user_id") > 0)
     )
-    first = F.struct(
-        "event_ts", "transaction_id", "role", "account_type", "country", "kyc_level", "exchange",
-        "risk_profile",
-    )
     per_coin = seen.groupBy("user_id", "coin").agg(
-        F.min(first).alias("first"), F.sum("half_cents").alias("half_cents")
+        F.sum("half_cents").alias("half_cents"), F.min("event_ts").alias("first_ts")
     )
     users = per_coin.groupBy("user_id").agg(
-        F.min("first").alias("first"),
+        F.min("first_ts").alias("first_ts"),
         F.sum("half_cents").alias("half_cents"),
-        F.sort_array(F.collect_list("coin")).alias("coins"),
+        # One entry per coin of the user.
+        F.sort_array(F.collect_list(F.struct((-c("half_cents")).alias("n"), "coin"))).alias("coins"),
     )
-    return users.select(
+    own = ["account_type", "country", "kyc_level", "exchange", "risk_profile"]
+    same = (c("s.user_id") == c("u.user_id")) & c("s.event_ts").eqNullSafe(c("u.first_ts"))
+    at_first = seen.alias("s").join(users.alias("u"), same).select("u.*", "s.transaction_id", "s.role", *[f"s.{x}" for x in own])
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy("transaction_id", "role", *own))
+    return at_first.withColumn("__rank", rank).where("__rank = 1").select(
         "user_id",
-        *[f"first.{x}" for x in ("account_type", "country", "kyc_level", "exchange")],
+        *own[:4],
         F.concat(_mailbox(c("user_id")), F.lit("@" + email_domain)).alias("email"),
         registration_date.alias("registration_date"),
-        "first.risk_profile",
+        "risk_profile",
         F.round(c("half_cents") / F.lit(200.0), 2).alias("monthly_volume_usd"),
-        F.slice("coins", 1, top).alias("preferred_cryptos"),
+        F.slice("coins.coin", 1, top).alias("preferred_cryptos"),
     )
 
 

@@ -613,6 +613,17 @@ CAST(TRY_CAST(user_id AS TINYINT) AS BIGINT) AS user_id, CAST(CAST(value AS FLOA
 CAST(TRY_CAST(event_type AS INT) AS BIGINT) AS event_type,
 TRY_CAST(json_extract_string(props,'$.k') AS DOUBLE) AS k FROM events""",
 )
+add(
+    "narrow_rejects",
+    lambda spark, sf: quality.narrow_rejects(
+        sample.table(spark, sf, "events").withColumn("row_id", c("event_id")),
+        {"event_id": "smallint", "user_id": "tinyint", "event_type": "int"},
+        ["row_id"],
+    ),
+    """SELECT event_id AS row_id, 'event_id' AS "column", CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id>32767
+UNION ALL SELECT event_id, 'user_id', CAST(user_id AS VARCHAR) FROM events WHERE user_id>127
+UNION ALL SELECT event_id, 'event_type', event_type FROM events""",
+)
 add(
     "valid_dates",
     lambda spark, sf: quality.valid_dates(
@@ -624,9 +635,9 @@ add(
 
 # --- market --------------------------------------------------------------------------
 _DAILY = f"""{o.CANDLES}, daily AS (SELECT date, {_COIN} AS coin, market,
-{o.a("CASE WHEN market='th' THEN close END")} AS avg_price_thb,
-{o.a("CASE WHEN market='global' THEN close END")} AS avg_price_usd,
-{o.s("volume")} AS total_volume, {o.s("quote_volume")} AS total_quote_volume,
+CASE WHEN market='th' THEN {o.s8("close")}/count(close) END AS avg_price_thb,
+CASE WHEN market='global' THEN {o.s8("close")}/count(close) END AS avg_price_usd,
+{o.s8("volume")} AS total_volume, {o.s8("quote_volume")} AS total_quote_volume,
 CAST(sum(num_trades) AS BIGINT) AS total_trades FROM candles GROUP BY 1,2,3)"""
 _CAPPED = f"""{_DAILY}, stats AS (SELECT avg(total_volume)+3e0*stddev_samp(total_volume) AS v,
 avg(total_trades)+3e0*stddev_samp(total_trades) AS t FROM daily),
@@ -654,6 +665,30 @@ def _daily(spark, sf):
     return market.market_daily(sample.candles(spark, sf))
 
 
+def _klines(spark, sf):
+    """Answers of a market: mostly candles, some empty and some errors."""
+    cells = [F.unix_millis(c("l_shipdate").cast("timestamp")).cast("string"), *[F.lit("1.5")] * 3, c("l_extendedprice").cast("string"),
+             c("l_quantity").cast("string"), F.lit("1000"), F.lit("2.5"), c("l_linenumber").cast("string"), *[F.lit("0.5")] * 3]
+    text = (
+        F.when(c("l_linenumber") == 7, '{"code": -1}')
+        .when(c("l_linenumber") == 6, "[]")
+        .when(c("l_linenumber") == 5, "[[1, 2")
+        .otherwise(F.to_json(F.array(F.array(*cells))))
+    )
+    answers = sample.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("value"))
+    ok, bad = quotes.parse_klines(answers)
+    return ok.select("l_orderkey", "l_linenumber", "close", "num_trades", F.lit(None).cast("string").alias("raw")).unionByName(
+        bad.select("l_orderkey", "l_linenumber", "raw"), allowMissingColumns=True
+    )
+
+
+add(
+    "klines_parse",
+    _klines,
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber<5 THEN l_extendedprice END AS close,
+CASE WHEN l_linenumber<5 THEN l_linenumber END AS num_trades,
+CASE l_linenumber WHEN 7 THEN '{"code": -1}' WHEN 6 THEN '[]' WHEN 5 THEN '[[1, 2' END AS raw FROM lineitem""",
+)
 add(
     "combine_markets",
     lambda spark, sf: market.combine_markets(
@@ -1000,7 +1035,12 @@ add(
         sample.tx(spark, sf, _USER_TX), F.lit("2001-11-04").cast("date")
     ),
     o.q(
-        o.TX,
+        o.TX
+        + """, sides AS (
+SELECT sender_user_id AS user_id, 0 AS role, sender_country AS country, sender_kyc_level AS kyc, from_exchange AS exchange, * FROM tx
+UNION ALL SELECT receiver_user_id, 1, receiver_country, receiver_kyc_level, to_exchange, * FROM tx),
+coins AS (SELECT user_id, array_to_string(list(crypto_currency ORDER BY v DESC, crypto_currency)[1:3], ',') AS preferred_cryptos
+FROM (SELECT user_id, crypto_currency, sum(CAST(floor(usd_amount*1e2+0.5) AS BIGINT)*(2-role)) AS v FROM sides GROUP BY 1,2) GROUP BY 1)""",
         f"""SELECT user_id, first(account_type ORDER BY event_ts, transaction_id, role) AS account_type,
 first(country ORDER BY event_ts, transaction_id, role) AS country,
 first(kyc ORDER BY event_ts, transaction_id, role) AS kyc_level,
@@ -1009,9 +1049,7 @@ substr(split_part(user_id,'_',2),1,8)||'@example.com' AS email, '2001-11-04' AS
 first(CASE WHEN is_suspicious=1 THEN 'high' WHEN risk_score>50 THEN 'medium' ELSE 'low' END
  ORDER BY event_ts, transaction_id, role) AS risk_profile,
 {o.r("(CAST(sum(CAST(floor(usd_amount*1e2+0.5) AS BIGINT)*(2-role)) AS DOUBLE)/2e2)", 2)} AS monthly_volume_usd,
-array_to_string(list_sort(list(DISTINCT crypto_currency))[1:3], ',') AS preferred_cryptos FROM (
-SELECT sender_user_id AS user_id, 0 AS role, sender_country AS country, sender_kyc_level AS kyc, from_exchange AS exchange, * FROM tx
-UNION ALL SELECT receiver_user_id, 1, receiver_country, receiver_kyc_level, to_exchange, * FROM tx) GROUP BY user_id""",
+first(preferred_cryptos) AS preferred_cryptos FROM sides JOIN coins USING (user_id) GROUP BY user_id""",
     ),
 )
 add(
@@ -1090,14 +1128,14 @@ FROM tx GROUP BY 1,2,3,4 HAVING count(*)>=2 ORDER BY fraud_rate_percent DESC, to
 )
 add(
     "m6_risky_24h",
-    lambda spark, sf: bi.risky_senders(ev_tx(spark, sf), moment(EV_AS_OF), min_rows=2, min_risk=40),
+    lambda spark, sf: bi.risky_senders(ev_tx(spark, sf), moment(EV_AS_OF), min_rows=3, min_risk=50),
     o.q(
         o.EV,
         f"""SELECT sender_user_id, sender_country, count(*) AS transactions_24h, {S} AS volume_24h,
 {o.ARISK} AS avg_risk_score, {SUSP} AS suspicious_count, {o.ts("max(event_ts)")} AS last_transaction,
 count(DISTINCT crypto_currency) AS currencies_used FROM ev
 WHERE event_ts>={E_DAY}-INTERVAL 24 HOUR AND event_ts<={E_DAY} GROUP BY 1,2
-HAVING count(*)>=2 AND {o.ARISK}>=40 ORDER BY avg_risk_score DESC, volume_24h DESC,1,2 LIMIT 50""",
+HAVING count(*)>=3 AND {o.ARISK}>=50 ORDER BY avg_risk_score DESC, volume_24h DESC,1,2 LIMIT 50""",
     ),
 )
 
@@ -1371,12 +1409,12 @@ FROM users u LEFT JOIN tx t ON t.sender_user_id=u.user_id GROUP BY 1,2) GROUP BY
 )
 add(
     "a11_exchanges",
-    lambda spark, sf: bi.exchange_comparison(sample.volumes(spark, sf), moment(TX_AS_OF), 400),
+    lambda spark, sf: bi.exchange_comparison(sample.volumes(spark, sf), moment(TX_AS_OF), 30),
     o.q(
         o.VOLUMES,
         f"""SELECT exchange, {o.s("volume_usd")} AS total_volume_usd, CAST(sum(daily_trades) AS BIGINT) AS total_trades,
 {o.r(o.a("avg_trade_size", 6), 2)} AS avg_trade_size, count(DISTINCT symbol) AS symbols_traded FROM volumes
-WHERE trade_date>=CAST({T_DAY} AS DATE)-400 AND trade_date<=CAST({T_DAY} AS DATE) GROUP BY 1""",
+WHERE trade_date>=CAST({T_DAY} AS DATE)-30 AND trade_date<=CAST({T_DAY} AS DATE) GROUP BY 1""",
     ),
 )
 add(
@@ -1429,11 +1467,11 @@ WHERE source IN ('binance_global','binance_th') AND symbol LIKE '%THB'""",
 )
 add(
     "s4_trades",
-    lambda spark, sf: bi.trade_counts(sample.volumes(spark, sf), moment(TX_AS_OF), 400),
+    lambda spark, sf: bi.trade_counts(sample.volumes(spark, sf), moment(TX_AS_OF), 30),
     o.q(
         o.VOLUMES,
         f"""SELECT exchange, symbol, {o.day("trade_date")} AS date, daily_trades AS transaction_count, daily_volume,
-price_change_pct FROM volumes WHERE trade_date>=CAST({T_DAY} AS DATE)-400 AND trade_date<=CAST({T_DAY} AS DATE)""",
+price_change_pct FROM volumes WHERE trade_date>=CAST({T_DAY} AS DATE)-30 AND trade_date<=CAST({T_DAY} AS DATE)""",
     ),
 )
 add(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.labels import coin_of_pair
-from ledgerflow.functions.numbers import exact_avg, exact_sum
+from ledgerflow.functions.numbers import decimal_avg, decimal_sum
 from ledgerflow.operators import market
 from ledgerflow.sinks.batch import replace_date
 from ledgerflow.sources.files import candle_path, read_candles, read_table
@@ -34,16 +34,16 @@ def day_candles(spark: SparkSession, raw: str, day: str) -> DataFrame | None:
     return market.combine_markets(frames, day, F.current_timestamp())
 
 
-def day_aggregates(candles: DataFrame, scale: int = 2) -> DataFrame:
+def day_aggregates(candles: DataFrame) -> DataFrame:
     """The day's candles per coin and market."""
     have = set(candles.columns)
     quote = c("quote_volume") if "quote_volume" in have else F.lit(None).cast("double")
     trades = next((c(x) for x in ("num_trades", "trades") if x in have), F.lit(None))
     return candles.groupBy("date", "coin", "market").agg(
-        exact_avg(F.when(c("market") == "th", c("close")), scale).alias("avg_price_thb"),
-        exact_avg(F.when(c("market") == "global", c("close")), scale).alias("avg_price_usd"),
-        exact_sum(c("volume"), scale).alias("total_volume"),
-        exact_sum(quote, scale).alias("total_quote_volume"),
+        decimal_avg(F.when(c("market") == "th", c("close"))).alias("avg_price_thb"),
+        decimal_avg(F.when(c("market") == "global", c("close"))).alias("avg_price_usd"),
+        decimal_sum(c("volume")).alias("total_volume"),
+        decimal_sum(quote).alias("total_quote_volume"),
         F.sum(trades.cast("bigint")).alias("total_trades"),
     )
 

@@ -21,6 +21,10 @@ def a(x: str, scale: int = 2) -> str:
     return f"({s(x, scale)}/nullif(count({x}),0))"
 
 
+def s8(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(28,8))) AS DOUBLE)"
+
+
 def r(x: str, n: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)),{n}) AS DOUBLE)"
 
@@ -42,10 +46,6 @@ def ts(x: str) -> str:
     return f"strftime({x},'%Y-%m-%d %H:%M:%S.%f')"
 
 
-def big(x: str) -> str:
-    return f"CAST({x} AS BIGINT)"
-
-
 def readable(x: str) -> str:
     steps = ((1e12, "trillion"), (1e9, "billion"), (1e6, "million"), (1e3, "thousand"))
     cases = " ".join(
@@ -149,7 +149,8 @@ CANDLES = f"""candles AS (
 SELECT l_shipdate AS open_time, CAST(l_shipdate AS DATE) AS date,
  {_choose("p_type", sample.TYPE_COINS)} || CASE WHEN l_linestatus='O' THEN 'USDT' ELSE 'THB' END AS symbol,
  CASE WHEN l_linestatus='O' THEN 'global' ELSE 'th' END AS market,
- l_extendedprice AS close, l_quantity AS volume, l_extendedprice AS quote_volume, l_linenumber AS num_trades
+ round(l_extendedprice/98765,8) AS close, round(l_quantity/98765,8) AS volume,
+ round(l_extendedprice/7,8) AS quote_volume, l_linenumber AS num_trades
 FROM lineitem JOIN part ON l_partkey=p_partkey)"""
 
 

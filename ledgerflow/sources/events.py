@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -81,13 +83,20 @@ def parse_events(
     return out.drop("year", "month", "day", "hour", "date")
 
 
-def valid_events(events: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """Rows whose payload could be read (blank or broken text has no key)."""
-    return events.where(c(key).isNotNull())
+def _readable(events: DataFrame) -> Column:
+    """Whether the payload gave any event field (blank or broken text gives none)."""
+    fields = [c(x).isNotNull() for x in schemas.EVENT.names if x in events.columns]
+    return reduce(lambda a, b: a | b, fields)
+
+
+def valid_events(events: DataFrame) -> DataFrame:
+    """Rows whose payload could be read, with or without an id: quality checks flag a missing one."""
+    return events.where(_readable(events))
 
 
-def unreadable_events(events: DataFrame, key: str = "transaction_id") -> DataFrame:
-    return events.where(c(key).isNull())
+def unreadable_events(events: DataFrame) -> DataFrame:
+    """The other rows; `_corrupt` holds the text."""
+    return events.where(~_readable(events))
 
 
 def to_topic(df: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def read_existing(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None
 
 
 # File name of one market, symbol and, in the daily job, day.
-_CANDLE_FILE = r"(?:raw_)?(global|th)_([A-Z_]+?)(?:_\d{8})?\.parquet"
+_CANDLE_FILE = r"(?:raw_)?(global|th)_([A-Z0-9_]+?)(?:_\d{8})?\.parquet"
 
 
 def read_candles(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:

@@ -29,7 +29,10 @@ _CANDLE = (
 
 
 def parse_klines(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """JSON arrays of 12-element arrays -> (typed candles, rejected arrays with their text)."""
+    """JSON arrays of 12-element arrays -> (typed candles, rejects with their text).
+
+    Every answer leaves a trace: one that is no such array, or an empty one, is a reject as a whole.
+    """
 
     def field(i: int, kind: str) -> Column:
         cell = F.try_element_at(c("cells"), F.lit(i + 1))
@@ -39,15 +42,15 @@ def parse_klines(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFr
 
     keep = [x for x in df.columns if x != value]
     rows = df.select(
-        *keep, F.explode(F.from_json(c(value), "array<array<string>>")).alias("cells")
+        *keep, c(value).alias("__text"), F.explode_outer(F.from_json(c(value), "array<array<string>>")).alias("cells")
     ).select(
-        *keep, "cells", *[field(i, kind).alias(name) for i, (name, kind) in enumerate(_CANDLE)]
+        *keep, "__text", "cells", *[field(i, kind).alias(name) for i, (name, kind) in enumerate(_CANDLE)]
     )
     whole = F.lit(True)
     for name, _ in _CANDLE:
         whole = whole & c(name).isNotNull()
-    bad = rows.where(~whole).select(*keep, F.to_json("cells").alias("raw"))
-    return rows.where(whole).drop("cells"), bad
+    bad = rows.where(~whole).select(*keep, F.coalesce(F.to_json("cells"), "__text").alias("raw"))
+    return rows.where(whole).drop("cells", "__text"), bad
 
 
 def parse_array_candles(df: DataFrame, last_only: bool = True) -> DataFrame:
@@ -138,5 +141,10 @@ def parse_ticker(df: DataFrame, n: int = 50, value: str = "value") -> DataFrame:
     )
 
 
+def ticker_rejects(df: DataFrame, value: str = "value") -> DataFrame:
+    """Answers without a single entry, with their text."""
+    return df.where(F.coalesce(F.size(F.from_json(c(value), _TICKER)), F.lit(-1)) <= 0)
+
+
 def listed_pairs(prices: DataFrame, pairs: Sequence[str] = fixed.THB_PAIRS) -> DataFrame:
     return prices.where(c("symbol").isin(*pairs))

@@ -204,7 +204,7 @@ def ev_nested(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- market -----------------------------------------------------------------------
 def candles(spark: SparkSession, sf: str) -> DataFrame:
-    """One candle per line item: global pairs end in USDT, local ones in THB."""
+    """One candle per line item, at 8 decimals: global pairs end in USDT, local ones in THB."""
     world = c("l_linestatus") == "O"
     coin = _choose(c("p_type"), TYPE_COINS)
     return (
@@ -214,9 +214,9 @@ def candles(spark: SparkSession, sf: str) -> DataFrame:
             c("l_shipdate").alias("open_time"),
             F.concat(coin, F.when(world, "USDT").otherwise("THB")).alias("symbol"),
             F.when(world, "global").otherwise("th").alias("market"),
-            c("l_extendedprice").alias("close"),
-            c("l_quantity").alias("volume"),
-            c("l_extendedprice").alias("quote_volume"),
+            F.round(c("l_extendedprice") / 98765, 8).alias("close"),
+            F.round(c("l_quantity") / 98765, 8).alias("volume"),
+            F.round(c("l_extendedprice") / 7, 8).alias("quote_volume"),
             c("l_linenumber").alias("num_trades"),
         )
     )

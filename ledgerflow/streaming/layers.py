@@ -60,6 +60,11 @@ def read_bronze(spark: SparkSession, paths: Paths, files_per_batch: int | None =
     return read_layer_stream(spark, paths.layer("bronze"), schemas.RAW_LAYER, files_per_batch)
 
 
+def read_bronze_batch(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The committed raw rows as a batch; `unreadable_events` of them is the reject table."""
+    return spark.read.schema(schemas.RAW_LAYER).parquet(paths.layer("bronze"))
+
+
 def start_silver(
     spark: SparkSession,
     paths: Paths,
@@ -108,7 +113,11 @@ def refresh_days(
     days = [r[0] for r in touched.select(date_col).distinct().collect()]
     if not days:
         return
-    rows = read_silver(spark, paths).where(F.col(date_col).isin(days))
+    known = [d for d in days if d is not None]
+    wanted = F.col(date_col).isin(known)
+    if len(known) < len(days):  # events without a readable time have a folder of their own
+        wanted = F.coalesce(wanted, F.lit(True))
+    rows = read_silver(spark, paths).where(wanted)
     for name, build in tables.items():
         replace_date(build(rows, date_col=date_col), paths.layer(f"gold/{name}"), date_col)
 

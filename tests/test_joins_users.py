@@ -89,14 +89,14 @@ def test_extract_users_first_occurrence(spark):
     u1 = by["u_1"]
     assert (u1.country, u1.kyc_level, u1.exchange, u1.risk_profile) == ("TH", 2, "T", "medium")
     assert (u1.account_type, u1.monthly_volume_usd) == ("regular", 2.0 + 10.0)
-    assert u1.preferred_cryptos == ["BTC", "ETH"]
+    assert u1.preferred_cryptos == ["ETH", "BTC"]  # by volume
     assert by["u_abcdefghijk_9"].email == "abcdefgh@mail.test"
     assert by["u_abcdefghijk_9"].exchange == "Unknown"
     assert by["plainuserid"].email == "plainuse@mail.test"
     assert by["plainuserid"].risk_profile == "high"
     u4 = by["u_4"]
     assert (u4.country, u4.kyc_level, u4.monthly_volume_usd) == ("US", 3, 3.0)
-    assert u4.preferred_cryptos == ["BTC", "XRP"]
+    assert u4.preferred_cryptos == ["XRP", "BTC"]  # by volume
     assert by["u_5"].monthly_volume_usd == 0.0
 
 
@@ -113,3 +113,28 @@ def test_random_sample_is_seeded_and_bounded(spark, sf):
     rows = views.tx(spark, sf, cols)
     first = bi.scatter_sample(rows, k=50, seed=7).collect()
     assert len(first) == 50 and all(r.volume_usd > 1000 for r in first)
+
+
+def test_products_of_large_totals_and_many_quotes(spark):
+    prices = spark.createDataFrame([("BTC", 1.0, 0.0, 0.0)] * 10, "symbol string, price_usd double, change_24h double, volume_24h double")
+    tx = spark.createDataFrame([(f"t{k}", "BTC", 2e14) for k in range(100)], "transaction_id string, crypto_currency string, usd_amount double")
+    row = joins.price_tx_join(prices, tx).first()
+    assert (row.platform_transactions, row.platform_volume, row.avg_amount) == (1000, 2e17, 2e14)
+
+
+def test_country_falls_back_to_the_row(spark):
+    cols = (
+        "transaction_id string, event_ts int, sender_user_id string, receiver_user_id string, usd_amount double, risk_score int, "
+        "is_suspicious int, crypto_currency string, account_type string, sender_country string, receiver_country string, "
+        "sender_kyc_level int, receiver_kyc_level int, from_exchange string, to_exchange string, country string"
+    )
+    rows = [("t1", 1, "a", "b", 1.0, 1, 0, "BTC", None, None, None, 1, 1, None, None, "SG"), ("t2", 2, "c", "d", 1.0, 1, 0, "BTC", None, None, "TH", 1, 1, None, None, None)]
+    got = {r.user_id: r.country for r in users.extract_users(spark.createDataFrame(rows, cols), F.lit("2024-01-01").cast("date")).collect()}
+    assert got == {"a": "SG", "b": "SG", "c": "US", "d": "TH"}
+
+
+def test_no_whole_row_sort_for_latest_and_first(spark, sf):
+    import __spark_entry__ as contract
+
+    for key in ("m3_latest_prices", "user_accounts"):
+        assert "SortAggregate" not in contract.queries()[key](spark, sf)._jdf.queryExecution().executedPlan().toString()

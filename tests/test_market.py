@@ -122,3 +122,10 @@ def test_day_job_is_repeatable(spark, tmp_path):
     daily.rebuild(spark, lake, "2024-01-01")
     full = spark.read.parquet(f"{lake}/crypto_daily_full").collect()
     assert [r.date for r in full] == [D1] and full[0].total_trades == 3
+
+
+def test_prices_keep_eight_decimals(spark):
+    rows = [("2024-01-01 01:00:00", "USDCUSDT", "global", 0.99985, 0.00431, 1e-8, 1), ("2024-01-01 02:00:00", "USDCUSDT", "global", 0.99982, 0.00372, 2e-8, 1)]
+    schema = "open_time string, symbol string, market string, close double, volume double, quote_volume double, num_trades int"
+    row = market.market_daily(spark.createDataFrame(rows, schema).withColumn("open_time", F.to_timestamp("open_time"))).first()
+    assert (row.avg_price_usd, row.total_volume, row.total_quote_volume) == (0.999835, 0.00803, 3e-8)

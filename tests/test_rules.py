@@ -161,3 +161,16 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert one == many == Row(s=4999600.0, a=499.96)
     empty = df.where("x < 0").agg(*agg).first()
     assert empty == Row(s=None, a=None)
+
+
+def test_sums_neither_overflow_nor_hide(spark):
+    def total(values, where=None):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.agg(numbers.exact_sum(c("x"), where=where).alias("s")).first().s
+
+    assert total([5e16] * 4) == 2e17 and total([-5e16] * 4) == -2e17
+    assert total([9.2e18, 9.2e18, 1.0]) == 1.84e19
+    assert total([0.01, 5e16]) == 5e16 + 0.01 and total([0.1] * 10) == 1.0 and total([-0.25, 0.1]) == -0.15
+    assert total([1.0, float("nan")]) != total([1.0, float("nan")])
+    assert total([1.0, float("nan")], c("x") < 5) == 1.0
+    assert total([None]) is None and total([]) is None

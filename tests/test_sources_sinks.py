@@ -235,3 +235,20 @@ def test_summary_document(spark):
     assert doc["country_distribution"] == {"US": 2}
     assert doc["fraud_rate"] == 50.0 and doc["average_transaction_usd"] == 15.25
     assert sum(doc["crypto_distribution"].values()) == doc["total_transactions"]
+
+
+def test_no_answer_of_a_market_vanishes(spark):
+    good = json.dumps([[1704067200000, "1", "2", "0.5", "1.5", "10", 1704070799999, "15", 3, "4", "5", "0"]])
+    answers = [good, "not json", None, "[]", '{"code": -1121}']
+    df = spark.createDataFrame(list(enumerate(answers)), "k int, value string")
+    ok, rejects = market.parse_klines(df)
+    assert [r.k for r in ok.collect()] == [0]
+    assert {r.k: r.raw for r in rejects.collect()} == {1: "not json", 2: None, 3: "[]", 4: '{"code": -1121}'}
+    ticker = spark.createDataFrame([('[{"symbol": "A"}]',), ("[]",), ("x",), (None,)], "value string")
+    assert market.parse_ticker(ticker).count() == 1 and market.ticker_rejects(ticker).count() == 3
+
+
+def test_symbols_with_digits(spark, tmp_path):
+    path = f"{tmp_path}/raw_global_1INCHUSDT.parquet"
+    spark.createDataFrame([(1.0,)], "close double").write.parquet(path)
+    assert files.read_candles(spark, [path]).first().symbol == "1INCHUSDT"

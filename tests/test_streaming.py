@@ -236,3 +236,18 @@ def test_progress_and_stop(spark, tmp_path):
     assert progress.stop_all(spark) == ["watched"] and not progress.report([q])[0]["active"]
     spark.streams.removeListener(log)
     assert all(r["name"] == "watched" for r in log.rows)
+
+
+def test_no_event_is_lost_between_the_layers(spark, tmp_path):
+    topic, paths = str(tmp_path / "topic"), layers.Paths(str(tmp_path / "lake"))
+    no_id, no_time = event(1, 1), event(2, 2)
+    no_id["transaction_id"], no_time["timestamp"] = None, "yesterday"
+    write_topic_file(spark, topic, [json.dumps(e) for e in (event(0, 1), no_id, no_time)] + ["{broken", ""])
+    run_layers(spark, topic, paths)
+    bronze = layers.read_bronze_batch(spark, paths)
+    silver = layers.read_silver(spark, paths)
+    assert silver.count() == 3 and events.unreadable_events(bronze).count() == 2 and bronze.count() == 5
+    assert silver.where("transaction_id is null and not dq_transaction_id_valid").count() == 1
+    expected = to_silver(events.valid_events(events.parse_events(spark.read.parquet(topic), moment())), moment())
+    for name, build in gold.GOLD_TABLES.items():
+        assert rows_of(spark.read.parquet(paths.layer(f"gold/{name}"))) == rows_of(build(expected)), name
