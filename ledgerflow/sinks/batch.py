@@ -57,7 +57,8 @@ def append_table(df: DataFrame, path: str, name: str, created_at: Column) -> Non
 def write_candles(df: DataFrame, path: str, by: Sequence[str] = ("market", "symbol", "date")) -> None:
     """Replace the candle files of the markets, symbols and days in `df`."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *map(F.col, by))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
@@ -69,6 +70,7 @@ def write_bronze_batch(events: DataFrame, path: str, ts: str = "timestamp") -> N
     parts = add_partitions(events, ts).withColumn("sender_country", F.col("sender.country"))
     (
         parts.drop("date_partition", "hour_partition", "day", "hour", "date")
+        .hint("rebalance", F.col("year"), F.col("month"), F.col("sender_country"))
         .write.mode("append")
         .option("compression", "snappy")
         .partitionBy("year", "month", "sender_country")

@@ -105,13 +105,12 @@ def tx(spark: SparkSession, sf: str, columns: Iterable[str]) -> DataFrame:
     }
     columns = list(columns)
     needs = {n for name in columns for n in exprs[name][1]}
-    rows = table(spark, sf, "lineitem")
-    for name, left, right in (
-        ("orders", "l_orderkey", "o_orderkey"),
-        ("customer", "o_custkey", "c_custkey"),
-        ("supplier", "l_suppkey", "s_suppkey"),
-        ("part", "l_partkey", "p_partkey"),
-    ):
+    rows, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    if "customer" in needs:  # joined to the smaller table, so that line items move once for both
+        orders = orders.join(table(spark, sf, "customer"), c("o_custkey") == c("c_custkey"))
+    if "orders" in needs:
+        rows = rows.join(orders, c("l_orderkey") == c("o_orderkey"))
+    for name, left, right in (("supplier", "l_suppkey", "s_suppkey"), ("part", "l_partkey", "p_partkey")):
         if name in needs:
             rows = rows.join(table(spark, sf, name), c(left) == c(right))
     return rows.select(*[exprs[name][0].alias(name) for name in columns])
