@@ -29,6 +29,13 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; lines that too many documents of a source share go too."""
     return _counted(line_rules.keep_good(docs, line_rules.frequent_lines(docs)))
@@ -40,7 +47,8 @@ SENT_KEYS = 1_000_000
 
 def _row_key() -> Column:
     """Names a row by its id and text; a NULL id counts as a value of its own."""
-    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return F.xxhash64(doc_id.isNull(), doc_id, F.xxhash64("text"))
 
 
 def _checked(keys: DataFrame) -> DataFrame:
@@ -56,11 +64,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     first = rows.groupBy("label").agg(F.min_by("__key", order).alias("first"))
     rows = stored(rows.join(first, "label").select("__key", "copies", (F.col("__key") == F.col("first")).alias("stays")), "groups")
-    gone = _checked(rows.where("not stays").select("__key"))
-    repeated = _checked(rows.where("stays and copies > 1").select("__key"))
-    left = docs.withColumn("__key", _row_key()).join(gone, "__key", "left_anti")
-    single = left.join(repeated, "__key", "left_anti")
-    one_each = left.join(repeated, "__key", "left_semi").dropDuplicates(["__key"])
+    gone, repeated = rows.where("not stays").select("__key"), rows.where("stays and copies > 1").select("__key")
+    name = _free(docs, "__key")
+    gone, repeated = (_checked(keys.withColumnRenamed("__key", name)) for keys in (gone, repeated))
+    left = docs.withColumn(name, _row_key()).join(gone, name, "left_anti")
+    single = left.join(repeated, name, "left_anti")
+    one_each = left.join(repeated, name, "left_semi").dropDuplicates([name])
     return single.unionByName(one_each).select(*docs.columns)
 
 
@@ -72,8 +81,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
-    found = secrets.with_spans(docs, "text", "__spans")
-    return _counted(found.withColumn("text", secrets.masked(F.col("text"), F.col("__spans"))).select(*docs.columns))
+    spans = _free(docs, "__spans")
+    found = secrets.with_spans(docs, "text", spans)
+    return _counted(found.withColumn("text", secrets.masked(F.col("text"), F.col(spans))).select(*docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -119,8 +119,9 @@ def with_spans(rows: DataFrame, text_col: str, spans_col: str = "spans") -> Data
     def where(mark: Column, pattern: str, kind: int) -> Column:
         return F.when(mark, _found(text, pattern, kind)).otherwise(none)
 
-    runs = "__runs"
-    shaped = "__shaped"
+    runs, shaped = "__runs", "__shaped"
+    while runs in rows.columns or shaped in rows.columns:
+        runs, shaped = runs + "_", shaped + "_"
     rows = rows.withColumn(
         shaped,
         F.concat(

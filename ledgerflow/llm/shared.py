@@ -22,11 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _SHIPPED: set[str] = set()
+#: Rows of an Arrow batch, where the session keeps Spark's default of 10,000: whole texts are long.
+BATCH_ROWS = 2000
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once per application, so that tasks can import
-    them wherever the driver found them."""
+    them wherever the driver found them; and take smaller batches of texts to Python."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     app, root = spark.sparkContext.applicationId, Path(__file__).resolve().parents[1]
     if app in _SHIPPED or not root.is_dir():
         return

@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from ledgerflow.llm.words import LOWER, Words, buffers, ragged, runs, split
 
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 _KIND = np.full(256, 3, np.uint8)  # ASCII: 1 letter, 2 digit, 3 other; 0 not ASCII
 _KIND[128:] = 0

@@ -15,6 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+# Arrow's own pool keeps what it once took; the system's gives large blocks back.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Bytes of text that are worked on at a time (a longer text makes a longer slice).
 SLICE = 6 << 20
 

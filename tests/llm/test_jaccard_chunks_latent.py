@@ -14,8 +14,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 _SYLLABLES = ["an", "ber", "co", "dal", "en", "fi", "gor", "ha", "is", "jun", "ka", "lem", "mi", "nor", "o", "pre", "qui", "ras", "ti", "us"]
-_WORDS = ["".join(random.Random(k).choices(_SYLLABLES, k=1 + k % 4)) + str(k) * (k % 7 == 0) for k in range(4000)]
-_WEIGHTS = [1 / (k + 4) for k in range(4000)]
+_WORDS = ["".join(random.Random(k).choices(_SYLLABLES, k=1 + k % 4)) + str(k) * (k % 7 == 0) for k in range(20000)]
+_WEIGHTS = [1 / (k + 4) for k in range(20000)]
 
 
 def prose(rng, n):
