@@ -96,8 +96,8 @@ def _signatures(rows: DataFrame, n: int) -> DataFrame:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in slices(batches, "text"):
             sets = _sets(batch.column("text"), n)
-            slots = (np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-            seen += np.bincount(slots, minlength=len(seen)).astype(np.uint32)
+            slots, n_docs = np.unique(np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+            seen[slots] += n_docs.astype(np.uint32)
             digest = np.array([_digest(own) for own in sets], np.uint64).view(np.int64)
             empty = pa.nulls(len(sets))
             yield pa.RecordBatch.from_arrays(

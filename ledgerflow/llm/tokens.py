@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -114,13 +114,17 @@ class TokenIds:
         for p in new:
             (plain if _LETTERS(p) else other).append(p)
         lines = [b" ".join(plain[k : k + 256]).decode() for k in range(0, len(plain), 256)]
-        ids = [x.ids for x in self.library.encode_batch_fast(lines, add_special_tokens=False)]
-        flat = np.fromiter((i for x in ids for i in x), np.uint32)
+        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(x, np.uint32) for x in self._encoded(lines, 32))])
         last = np.flatnonzero(self.ends[flat])
-        more = [x.ids for x in self.library.encode_batch_fast([p.decode() for p in other], add_special_tokens=False)]
+        more = list(self._encoded([p.decode() for p in other], 4096))
         sizes = np.concatenate([np.diff(last, prepend=-1), np.fromiter(map(len, more), np.int64, len(more))])
         return plain + other, np.concatenate([flat, np.fromiter((i for x in more for i in x), np.uint32)]), sizes
 
+    def _encoded(self, texts: list[str], at_once: int) -> Iterator[list[int]]:
+        """Ids of each text; few at a time, since the library's answers are large."""
+        for k in range(0, len(texts), at_once):
+            yield from (x.ids for x in self.library.encode_batch_fast(texts[k : k + at_once], add_special_tokens=False))
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the place where each text's begin (one more at the end)."""
         found, _, _ = pieces_of(column, self.special)
