@@ -8,7 +8,11 @@ bytes. Chunks are known by digest; a digest that two documents or more hold belo
 the least id, and is a repeat in the others.
 
 A repeat is reported where chunks known from other documents follow one another over at least
-`LEAST_WORDS` words. A passage loses up to a chunk and the hash's window at either end, so a
+`LEAST_WORDS` words. Inside such a stretch, `LEAST_WORDS` words or more of chunks that all belong to
+other documents are parts of their own; shorter ones are chance (a phrase that an earlier document
+has too) and stay with the document's own chunks around them. A chunk of the document's own is thus
+never cut. Parts of others are divided where passages of so many words belong to different
+documents. A passage loses up to a chunk and the hash's window at either end, so a
 passage of 50 words, whose chunks would otherwise have nothing in common with other documents, has
 about 40 words in whole chunks.
 
@@ -28,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.hash_files import by_bucket, look_up, put_arrays, sums
+from ledgerflow.llm.hash_files import by_bucket, look_up, put_arrays
 from ledgerflow.llm.shared import bucket_count, shared_folder, ship
 from ledgerflow.llm.words import SPACE, buffers, slices, spread
 
@@ -149,8 +153,9 @@ def find_repeats(docs: DataFrame, buckets: int | None = None, id_col: str = "doc
             heads = np.flatnonzero(np.concatenate([[True], digest[1:] != digest[:-1]]))
             least, most = np.minimum.reduceat(owner, heads), np.maximum.reduceat(owner, heads)
             shared = least < most
-            put_arrays(f"{folder}/{bucket:06d}", digest[heads][shared], least[shared])
-            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32())], ["bucket"])
+            if shared.any():
+                put_arrays(f"{folder}/{bucket:06d}", digest[heads][shared], least[shared])
+            return pa.RecordBatch.from_arrays([pa.array([bucket] * bool(shared.any()), pa.int32())], ["bucket"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -170,8 +175,8 @@ def find_repeats(docs: DataFrame, buckets: int | None = None, id_col: str = "doc
 
 @dataclass
 class Runs:
-    """Stretches of repeated chunks: text, bytes [start, stop), words, the document that the chunk in
-    the middle belongs to, and whether half of it or more belongs to the text's own document."""
+    """Stretches of repeated chunks: text, bytes [start, stop), words, the document that they belong
+    to, and whether that is the text's own: some of the chunks are in no earlier document."""
 
     text: np.ndarray
     start: np.ndarray
@@ -181,27 +186,84 @@ class Runs:
     own: np.ndarray
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before; the first does."""
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
+
+
+def _tails(heads: np.ndarray, n: int) -> np.ndarray:
+    """The last place of each stretch."""
+    return np.append(heads[1:], n)[: len(heads)] - 1
+
+
+def _spread_out(values: np.ndarray, heads: np.ndarray, n: int) -> np.ndarray:
+    """The value of each stretch at each of its places."""
+    return np.repeat(values, _tails(heads, n) + 1 - heads)
+
+
+def _settled(owner: np.ndarray, heads: np.ndarray, sure: np.ndarray | None = None) -> np.ndarray:
+    """Owners with those that are not sure replaced by the last sure one of the stretch, or by its
+    first sure one where none comes before. Sure by default: two chunks of one owner in a row."""
+    n = len(owner)
+    stretch = _spread_out(np.arange(len(heads)), heads, n)
+    if sure is None:
+        same = np.zeros(n + 1, bool)
+        same[1:n] = (owner[1:] == owner[:-1]) & (stretch[1:] == stretch[:-1])
+        sure = same[1:] | same[:-1]
+    back = np.maximum.accumulate(np.where(sure, np.arange(n), -1)) if n else np.zeros(0, np.int64)
+    ahead = np.minimum.accumulate(np.where(sure, np.arange(n), n)[::-1])[::-1] if n else back
+    use = np.where((back >= 0) & (stretch[back] == stretch), back, ahead)
+    some = use < n
+    some[some] = stretch[use[some]] == stretch[some]
+    return np.where(some, owner[np.where(some, use, 0)], owner) if n else owner
+
+
+def _most(owner: np.ndarray, size: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """The owner of the most bytes of each stretch; of several, the least."""
+    kinds, code = np.unique(owner, return_inverse=True)
+    stretch = _spread_out(np.arange(len(heads)), heads, len(owner))
+    pairs, place = np.unique(stretch * max(1, len(kinds)) + code, return_inverse=True)
+    total = np.bincount(place, size, len(pairs)).astype(np.int64)
+    order = np.lexsort((pairs, -total, pairs // max(1, len(kinds))))
+    best = order[_changes(pairs[order] // max(1, len(kinds)))] if len(order) else order
+    return kinds[pairs[best] % max(1, len(kinds))] if len(best) else np.zeros(0, np.int64)
+
+
 def _runs(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, repeats: Repeats, least_words: int) -> Runs:
     found = chunks_of(data, offsets)
     owner, known = look_up(repeats.folder, repeats.files, repeats.bits, found.digest, np.int64)
     at = np.flatnonzero(known)
-    # A stretch ends with the text and where a chunk is not known.
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) > 1) | (found.text[at[1:]] != found.text[at[:-1]])
-    heads = np.flatnonzero(new)
-    tails = np.append(heads[1:], len(at))[: len(heads)] - 1
-    start, stop = found.start[at[heads]], found.stop[at[tails]]
-    size = found.stop[at] - found.start[at]
-    own = np.where(owner[at] == ids[found.text[at]], size, 0)
-    own = 2 * sums(own, heads) >= stop - start
+    text, owner = found.text[at], owner[at]
     inside = ~SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     before = np.concatenate([np.zeros(1, np.int64), np.cumsum(begins)])
-    words = before[stop] - before[start]
-    long = words >= least_words
-    first = np.where(own, ids[found.text[at[heads]]], owner[at[(heads + tails) // 2]])
-    return Runs(found.text[at[heads]][long], start[long], stop[long], words[long], first[long], own[long])
+
+    def words(heads: np.ndarray) -> np.ndarray:
+        return before[found.stop[at[_tails(heads, len(at))]]] - before[found.start[at[heads]]]
+
+    # A stretch ends with the text and where a chunk is not known, and around enough chunks of others.
+    apart = np.ones(len(at), bool)
+    apart[1:] = (np.diff(at) > 1) | _changes(text)[1:]
+    other = owner != ids[text]
+    heads = np.flatnonzero(apart | _changes(other))
+    theirs = _spread_out(other[heads] & (words(heads) >= least_words), heads, len(at))
+    parts = np.flatnonzero(apart | _changes(theirs))
+    own = ~_spread_out(np.logical_and.reduceat(other, parts) if len(parts) else np.zeros(0, bool), parts, len(at))
+
+    # Stretches of others are divided where one long passage follows another document's.
+    near = _settled(owner, parts)
+    heads = np.flatnonzero(_changes(near) | np.isin(np.arange(len(at)), parts))
+    solid = _spread_out(words(heads) >= least_words, heads, len(at)) & ~own
+    near = _settled(near, parts, solid)
+    heads = np.flatnonzero(np.isin(np.arange(len(at)), parts) | (_changes(near) & ~own))
+    first = np.where(own[heads], ids[text[heads]], _most(near, found.stop[at] - found.start[at], heads))
+    n = words(heads)
+    long = n >= least_words
+    start, stop = found.start[at[heads]], found.stop[at[_tails(heads, len(at))]]
+    return Runs(text[heads][long], start[long], stop[long], n[long], first[long], own[heads][long])
 
 
 SPANS = "doc_id long, start long, stop long, n_words long, first_doc_id long, is_first boolean"

@@ -166,6 +166,34 @@ def test_repeats_are_removed(repeats):
     assert chunk_dedup.repeated_spans(none, chunk_dedup.find_repeats(none)).count() == 0
 
 
+@pytest.mark.parametrize("before, after", [(75, 75), (150, 0), (20, 20), (0, 50), (5, 120), (12, 12)])
+def test_shared_passages_inside_copies(spark, before, after):
+    """Document 1 holds a passage; 2 and its copies 3 and 4 hold it among other words."""
+    rng = random.Random(before + 1000 * after)
+    own, passage, head, tail = (" ".join(prose(rng, n)) for n in (120, 80, before, after))
+    copy = f"{head} {passage} {tail}".strip()
+    rows = [(1, f"{own} {passage}"), (2, copy), (3, copy), (4, copy)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = chunk_dedup.find_repeats(docs)
+    text, spans = dict(rows), {}
+    for r in chunk_dedup.repeated_spans(docs, marks).collect():
+        spans.setdefault(r["doc_id"], []).append((r["is_first"], r["first_doc_id"], text[r["doc_id"]][r["start"] : r["stop"]].split()))
+    theirs = [(first, words) for is_first, first, words in spans[2] if not is_first]
+    assert [first for first, _ in theirs] == [1] and 65 <= len(theirs[0][1]) <= 80
+    assert all(first == 2 for is_first, first, _ in spans[2] if is_first)
+    assert any(is_first and first == 1 and len(words) >= 65 for is_first, first, words in spans[1])
+    for k in (3, 4):  # whole copies, divided where the documents they belong to change
+        assert not any(is_first for is_first, *_ in spans[k])
+        assert sum(len(words) for *_, words in spans[k]) >= len(copy.split()) and 1 in {first for _, first, _ in spans[k]}
+        if not 15 < max(before, after) < 40:  # about LEAST_WORDS it depends on where chunks end
+            assert (2 in {first for _, first, _ in spans[k]}) == (max(before, after) >= 40)
+    left = {r["doc_id"]: r["text"] for r in chunk_dedup.remove_repeats(docs, marks).collect()}
+    assert left[1] == text[1] and left[3] == left[4] == ""
+    for part in (head, tail):  # what document 1 never had is still there, once
+        assert part in left[2]
+    assert len(left[2].split()) <= before + after + 15
+
+
 @pytest.fixture(scope="module")
 def leaks(spark):
     rng = random.Random(8)
