@@ -31,6 +31,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Words of an n-gram.
+ORDER = 3
+
 #: Shards of the table.
 SHARDS = 40
 
@@ -51,7 +54,7 @@ def op2_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
-    model = ngram_lm.train(docs.where(~held_out))
+    model = ngram_lm.train(docs.where(~held_out), ORDER)
     scores = ngram_lm.score(docs, model)
     return scores.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.totals[0][1]).cast("long").alias("train_tokens"),

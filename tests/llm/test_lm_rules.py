@@ -2,11 +2,15 @@
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerflow.llm import line_rules, ngram_lm
+from ledgerflow.llm import line_rules, ngram_lm, queries
+from ledgerflow.llm.words import words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 END, BEGIN = "</s>", "<s>"
@@ -88,6 +92,29 @@ def test_scores_are_those_of_the_textbook(spark, sample, order):
         assert r["score"] == pytest.approx(brute.score(text), rel=1e-9) and r["base_score"] == pytest.approx(brute.base(text), rel=1e-9)
 
 
+def test_registered_query_scores_with_two_words_of_context(spark, sample, tmp_path):
+    rows = [(r["doc_id"], r["text"]) for r in sample.limit(16).collect()]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op3_kneser_ney(spark, str(tmp_path)).collect()
+    brute = KneserNey([t for k, t in rows if zlib.crc32(str(k).encode()) % 10], 3)
+    assert len(got) == len(rows) and len({r["held_out"] for r in got}) == 2
+    for r in got:
+        assert r["score"] == pytest.approx(brute.score(dict(rows)[r["doc_id"]]), rel=1e-9)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_slices_of_a_task_are_added_up(sample, order):
+    texts = [r["text"] for r in sample.limit(20).collect()]
+    slices = [words_of(pa.array(texts), True)] * 5
+    most = len(ngram_lm._count_slice(slices[0], order)[1][0])
+    once, whole, parts = (list(ngram_lm._count_task(iter(x), order, 2, n)) for x, n in ((slices[:1], 10 * most), (slices, 10 * most), (slices, most - 1)))
+    assert len(whole) == 1 and [r[2:6] for r in whole[0]] == [r[2:6] for r in once[0]]  # the same n-grams, once
+    assert len(parts) > 1
+    for sent in (whole, parts):
+        total = sum(np.frombuffer(r[6], np.uint32).sum() for rows in sent for r in rows)
+        assert total == 5 * sum(np.frombuffer(r[6], np.uint32).sum() for r in once[0])
+
+
 def test_probabilities_sum_to_one(spark):
     texts = ["a b c a b", "b c d", "a a a b", "d c b a"]
     brute = KneserNey(texts, 2)
