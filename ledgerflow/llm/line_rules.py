@@ -3,7 +3,8 @@ are left with too little are rejected.
 
 A line's key is a hash of its words (A-Z lower-cased, white space ignored) and its host. Tasks
 send each key with the digest of the document's text to the key's bucket, which counts distinct
-digests: exact copies are one document. Keys above the absolute limit meet the number of distinct
+digests: exact copies are one document. A host's documents are counted likewise, but spread over the
+buckets by their digests, and the counts added up. Keys above the absolute limit meet the number of distinct
 documents of their host; those above the share too are written to sorted hash files, which the
 second pass over the texts maps. The document with the smallest digest keeps the line, so that no
 content is lost altogether: of many near copies one stays whole.
@@ -155,6 +156,13 @@ class Frequent:
     bits: int
 
 
+def _dealt(trio: np.ndarray) -> np.ndarray:
+    """What the bucket of each (key, host, digest) is taken from: a line's key; of a host, which any
+    share of the documents may have, the digest as well, so that its documents spread."""
+    key, host, digest = trio.T
+    return np.where(key == _with_host(host, host), spread(key * _ODD + digest), key)
+
+
 SENT = "bucket int, key binary, host binary, digest binary"
 
 
@@ -195,7 +203,7 @@ def frequent_lines(
             trio = np.concatenate([trio, np.column_stack([_with_host(host, host), host, digest])])
             _, one = np.unique(spread(trio[:, 0] * _ODD + trio[:, 2]), return_index=True)
             trio = trio[one]
-            order, there, heads = by_bucket(trio[:, 0], bits)
+            order, there, heads = by_bucket(_dealt(trio), bits)
             rows = [(b, *(trio[order[i:j], k].tobytes() for k in range(3))) for b, i, j in zip(there, heads, heads[1:], strict=False)]
             if rows:
                 columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), [pa.int32(), *[pa.binary()] * 3], strict=True)]
@@ -243,7 +251,8 @@ def frequent_lines(
     sent = rows.mapInArrow(send, SENT).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     names = ["key", "host", "digest"]
     counted = stored(sent.mapInArrow(lambda batches: _by_key(batches, names, count), "key long, host long, digest long, n long, whole boolean"), "line-counts")
-    hosts = counted.where("whole").select("host", F.col("n").alias("docs"))
+    # A document is counted in one bucket, so a host's counts add up.
+    hosts = counted.where("whole").groupBy("host").agg(F.sum("n").alias("docs"))
     above = counted.where("not whole").join(hosts, "host").where(F.col("n") > most_share * F.col("docs"))
     above = above.select(F.shiftrightunsigned("key", 64 - bits).cast("int").alias("bucket"), "key", "digest")
     written = above.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(write, "bucket int")

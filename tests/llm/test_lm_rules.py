@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from ledgerflow.llm import line_rules, ngram_lm, queries
+from ledgerflow.llm.hash_files import bucket_of
 from ledgerflow.llm.words import words_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -201,3 +202,18 @@ def test_no_rows(pages):
     none = pages.where("doc_id < 0")
     frequent = line_rules.frequent_lines(none)
     assert line_rules.assess(none, frequent).count() == 0 and line_rules.keep_good(none, frequent).count() == 0
+
+
+def test_documents_of_one_host_spread_over_buckets(spark):
+    host, digest = np.full(4000, 5, np.uint64), np.arange(1, 4001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    trio = np.column_stack([line_rules._with_host(host, host), host, digest])
+    share = np.bincount(bucket_of(line_rules._dealt(trio), 5), minlength=32)
+    assert share.min() > 60 and share.max() < 200
+    assert (line_rules._dealt(trio) == line_rules._dealt(trio.copy())).all()
+    # 1 % of the 2,600 distinct documents of the host is 26: a line of 26 stays, one of 27 goes.
+    rows = [(f"own words of {k}\n" + "this is line one\n" * (k < 26) + "this is line two\n" * (k < 27), "h") for k in range(2600)]
+    docs = spark.createDataFrame(rows + rows[:900], "text string, source string").repartition(3)
+    found = line_rules.frequent_lines(docs)
+    texts = pa.array([t for t, _ in rows[:27]])
+    v = line_rules._judge(texts, pa.array(["h"] * 27), found, line_rules.LINE_WORDS, False)
+    assert v.removed.sum() == 26 and v.removed.max() == 1
