@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import (
     chunk_dedup,
+    divergence,
     jaccard_join,
     latent_decontam,
+    licenses,
     line_rules,
     ngram_lm,
     oracle,
     packing,
+    phrases,
     prefix_tokens,
     secrets,
     sharding,
@@ -103,6 +106,20 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent_decontam.find_leaks(docs, space)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    joined = {c: F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")}
+    return found.select(*(joined.get(c, c) for c in found.columns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_stratified_shards": op1_stratified_shards,
     "op2_prefix_tokens": op2_prefix_tokens,
@@ -114,9 +131,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_latent_decontamination": op10_latent_decontamination,
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_license_scan": op13_license_scan,
 }
 ORACLE: dict[str, str] = {
     "op1_stratified_shards": oracle.SHARDS,
     "op4_secret_scan": oracle.SECRETS,
     "op8_jaccard_join": oracle.JACCARD,
+    "op11_phrase_mining": oracle.PHRASES,
+    "op12_source_divergence": oracle.DIVERGENCE,
+    "op13_license_scan": oracle.LICENSES,
 }

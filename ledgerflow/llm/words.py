@@ -89,9 +89,10 @@ class Words:
         return np.fromiter((h(raw[a:b], seed) for a, b in zip(places, places[1:], strict=False)), np.uint64, len(self.distinct))
 
 
-def split(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> Words:
-    """Words of each text; `cuts` marks bytes where a further word begins inside a run."""
-    inside = ~SPACE[data]
+def split(data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None, gaps: np.ndarray = SPACE) -> Words:
+    """Words of each text; `cuts` marks bytes where a further word begins inside a run; `gaps` says of
+    each byte value whether it parts words."""
+    inside = ~gaps[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     if cuts is not None:
