@@ -59,6 +59,17 @@ def _texts(places: np.ndarray, data: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(places) - 1, [None, pa.py_buffer(places), pa.py_buffer(data)])
 
 
+def _hashes(distinct: pa.LargeBinaryArray) -> np.ndarray:
+    """64-bit hash of each word, all at once: its bytes as digits, then mixed. Words that collide make
+    a chunk end earlier or an n-gram be looked at in vain, and change no count."""
+    data, places = buffers(distinct)
+    if not len(places) - 1:
+        return np.zeros(0, np.uint64)
+    sizes = np.diff(places)
+    powers = np.cumprod(np.full(int(sizes.max()), _ODD))
+    return spread(np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * powers[runs(sizes)], places[:-1]))
+
+
 def _chunks_of(batch: pa.RecordBatch) -> pa.RecordBatch:
     """The chunks of a slice of texts, a space behind each word."""
     data, offsets = buffers(batch.column("text"))
@@ -70,7 +81,7 @@ def _chunks_of(batch: pa.RecordBatch) -> pa.RecordBatch:
     marks = np.cumsum(_CUT[data], dtype=np.int32)[found.start]
     piece = np.ones(len(text), bool)
     piece[1:] = (text[1:] != text[:-1]) | (marks[1:] != marks[:-1])
-    begin = piece | (found.hashes() % np.uint64(TRIGGER) == 0)[found.codes]
+    begin = piece | (_hashes(found.distinct) % np.uint64(TRIGGER) == 0)[found.codes]
     heads = np.flatnonzero(begin)
     tails = np.append(heads[1:], len(begin))
     ends = np.append(np.flatnonzero(piece)[1:], len(begin))
@@ -131,7 +142,7 @@ def _grams_of(batch: pa.RecordBatch) -> _Grams:
     chunk = found.text_of()
     at = np.arange(len(chunk)) - found.first[chunk]
     return _Grams(
-        data, found.start, found.start + found.size, spread(mix[chunk] * _ODD + found.hashes()[found.codes]),
+        data, found.start, found.start + found.size, spread(mix[chunk] * _ODD + _hashes(found.distinct)[found.codes]),
         lang.indices.to_numpy()[chunk].astype(np.int64) * len(found.distinct) + found.codes, np.diff(found.first)[chunk] - at, at < batch.column("own").to_numpy()[chunk], chunk, batch.column("freq").to_numpy(),
     )
 
