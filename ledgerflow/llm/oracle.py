@@ -42,8 +42,8 @@ _ASSIGN = (
 _ALLOWED = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "^[+/_=-]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})([+/_=-]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[+/_=-]*$",
-    "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Dd][Uu][Mm][Mm][Yy]|[Xx]{8}|0{8}|123456789|abcdefgh|ABCDEFGH",
 )
+_PLACEHOLDER = "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Dd][Uu][Mm][Mm][Yy]|[Xx]{8}|0{8}|123456789|abcdefgh|ABCDEFGH"
 
 
 def _spans(kind: int, pattern: str) -> str:
@@ -62,18 +62,22 @@ WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS
 found AS ({" UNION ALL ".join(_spans(k, p) for k, p in enumerate((_ASSIGN, "AKIA[A-Z0-9]{12,}", "[0-9a-f]{32,}", "[A-Za-z0-9+/_=-]{20,}")))}),
 base AS (SELECT * FROM found WHERE kind IN (1, 2) OR kind = 0 AND length(regexp_extract(hit, '{_ASSIGN}', 2)) >= 8),
 runs AS (
-  SELECT * REPLACE (CASE WHEN regexp_matches(hit, '^[0-9a-f]+$|^[0-9A-F]+$') THEN 3 ELSE 4 END AS kind) FROM found
-  WHERE kind = 3 AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')
-    AND NOT ({" OR ".join(f"regexp_matches(hit, '{p}')" for p in _ALLOWED)})),
-signs AS (SELECT row, kind, start, stop, i, unnest(string_split(substr(hit, i, 20), '')) AS sign
-  FROM (SELECT *, unnest(range(1, length(hit) - 18)) AS i FROM runs)),
+  SELECT * REPLACE (CASE
+    WHEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') THEN CASE WHEN regexp_matches(hit, '^[0-9a-f]+$|^[0-9A-F]+$') THEN 3 ELSE 4 END
+    WHEN regexp_matches(hit, '[A-Za-z]') THEN 5 ELSE 6 END AS kind) FROM found
+  WHERE kind = 3 AND regexp_matches(hit, '[0-9A-Za-z]') AND NOT ({" OR ".join(f"regexp_matches(hit, '{p}')" for p in _ALLOWED)})),
+parts AS (
+  SELECT row, kind, start, stop, unnest(p) AS part, unnest(range(len(p))) AS n
+  FROM (SELECT *, string_split_regex(hit, '{_PLACEHOLDER}') AS p FROM runs)),
+signs AS (SELECT row, kind, start, stop, n * 1000000000 + i AS i, unnest(string_split(substr(part, i, 20), '')) AS sign
+  FROM (SELECT *, unnest(range(1, length(part) - 18)) AS i FROM parts)),
 counted AS (SELECT row, kind, start, stop, i, sign, count(*) AS c FROM signs GROUP BY ALL),
 windows AS (SELECT row, kind, start, stop, i, -sum(c / 20.0::DOUBLE * log2(c / 20.0::DOUBLE)) AS h FROM counted GROUP BY ALL),
-high AS (SELECT DISTINCT row, kind, start, stop FROM windows WHERE h >= CASE kind WHEN 3 THEN 3.0 ELSE 3.7 END - 1e-9),
+high AS (SELECT DISTINCT row, kind, start, stop FROM windows WHERE h >= [3.0, 3.7, 4.0, 3.1][kind - 2] - 1e-9),
 spans AS (
   SELECT row, kind, start, stop FROM base
   UNION ALL SELECT * FROM high WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.row = high.row AND base.start <= high.start AND high.stop <= base.stop)),
-named AS (SELECT *, ['assign', 'access', 'hex', 'entropy_hex', 'entropy_mixed'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS label FROM spans),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy_hex', 'entropy_mixed', 'entropy_letters', 'entropy_digits'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS label FROM spans),
 listed AS (
   SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(label, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(label, ',' ORDER BY start, kind) AS spans

@@ -5,7 +5,8 @@ made of. Of a candidate's characters the entropy of each window of `WINDOW` is f
 c(x) the count of x in the window, S = sum of c * log2 c, and entropy = log2 WINDOW - S / WINDOW. One
 step takes the oldest character out and the next one in, so S changes by two terms only. A
 candidate is a secret if some window exceeds the limit of the candidate's character class and no
-rule of the allow-list names it.
+rule of the allow-list names it; a placeholder in it hides only the windows that touch it. No step
+depends on a run's length, and no pattern repeats a group, so runs of any length are safe.
 
 Rows: a NULL text is an empty one, and has no spans; repeated rows stay, one result each; a NULL id
 stays NULL; only the id and text columns are read.
@@ -13,6 +14,8 @@ stays NULL; only the id and text columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,30 +28,36 @@ ASSIGN_LEAST = 8
 #: A run of 16 (32) or more is what the open-ended shape finds and then keeps.
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed", "entropy_letters", "entropy_digits")
 
 #: Characters of a sliding window; a candidate is at least that long.
 WINDOW = 20
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
-#: Least entropy in bits of a window, by class of the candidate (the most possible: 4 and 4.32).
-LIMITS = {"entropy_hex": 3.0, "entropy_mixed": 3.7}
-#: Candidates that are no secrets, whatever their entropy: ids of the common 8-4-4-4-12 form, words
-#: joined by signs, paths and names whose parts are words or short numbers, and placeholders.
-ALLOWED = (
-    "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    "^[+/_=-]*([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})([+/_=-]+([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[+/_=-]*$",
-    "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Dd][Uu][Mm][Mm][Yy]|[Xx]{8}|0{8}|123456789|abcdefgh|ABCDEFGH",
-)
+#: Least entropy in bits of a window, by class of the candidate (the most possible: 4, 4.32, 4.32 and 3.32).
+LIMITS = {"entropy_hex": 3.0, "entropy_mixed": 3.7, "entropy_letters": 4.0, "entropy_digits": 3.1}
+#: Candidates that are no secrets, whatever their entropy: ids of the common 8-4-4-4-12 form, and words
+#: joined by signs, paths and names, whose parts are all words or short numbers.
+COMMON_ID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+JOINING = "[+/_=-]+"
+WORD = "^([A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})$"
+#: Placeholders are cut out of a candidate; windows are looked for in the parts between them.
+PLACEHOLDER = "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Pp][Ll][Aa][Cc][Ee][Hh][Oo][Ll][Dd][Ee][Rr]|[Dd][Uu][Mm][Mm][Yy]|[Xx]{8}|0{8}|123456789|abcdefgh|ABCDEFGH"
 _SLACK = 1e-9
 
 
+#: Hits whose places are worked out together.
+TOGETHER = 512
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _found(text: Column, pattern: str, kind: int) -> Column:
     """Spans of a pattern's matches, with their strings: what lies between the matches gives the
-    places, so the matches need not be looked for again."""
-    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<struct<start:int,stop:int,kind:int,hit:string>>")
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    places, so the matches need not be looked for again. Places are added up within `TOGETHER` hits
+    first and then over these, so no long array is copied for each hit."""
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.char_length(pair["gap"])
@@ -59,7 +68,31 @@ def _found(text: Column, pattern: str, kind: int) -> Column:
             kept = F.char_length(F.regexp_extract(pair["hit"], pattern, 2)) >= ASSIGN_LEAST
         return F.struct(stop.alias("at"), F.when(kept, F.concat(state["spans"], F.array(one))).otherwise(state["spans"]).alias("spans"))
 
-    return F.aggregate(pairs, begin, step, lambda state: state["spans"])
+    def parts(pairs: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+        whole = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / TOGETHER).cast("int"))
+        return F.transform(whole, lambda k: F.aggregate(F.slice(pairs, k * TOGETHER + 1, F.lit(TOGETHER)), begin, step))
+
+    def placed(parts: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            parts, begin, lambda s, p: F.struct((s["at"] + p["at"]).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")), lambda s: s["starts"]
+        )
+
+        def moved(part: Column) -> Column:
+            def by(x: Column) -> Column:
+                return F.struct((x["start"] + part["start"]).alias("start"), (x["stop"] + part["start"]).alias("stop"), x["kind"].alias("kind"), x["hit"].alias("hit"))
+
+            return F.transform(part["part"]["spans"], by)
+
+        return F.flatten(F.transform(F.arrays_zip(parts.alias("part"), starts.alias("start")), moved))
+
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = _let(hits, lambda hits: F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit")))
+    return _let(pairs, lambda pairs: F.when(F.size(pairs) > 0, _let(parts(pairs), placed)).otherwise(F.array().cast(_SPANS)))
+
+
+_SPANS = "array<struct<start:int,stop:int,kind:int,hit:string>>"
 
 
 def _term(n: Column) -> Column:
@@ -67,39 +100,43 @@ def _term(n: Column) -> Column:
 
 
 def window_entropy(run: Column) -> Column:
-    """The highest entropy of a window of `run`, by counts that change with each step."""
+    """The highest entropy of a window of `run`, by counts that change with each step. The state holds
+    the window, so a step costs the window, whatever the run's length. 0 for runs under a window."""
 
     def count(part: Column, ch: Column) -> Column:
         return F.char_length(part) - F.char_length(F.replace(part, ch, F.lit("")))
 
-    def step(state: Column, i: Column) -> Column:
-        came = F.substr(run, i, F.lit(1))
-        went = F.when(i > WINDOW, F.substr(run, i - WINDOW, F.lit(1))).otherwise(F.lit(""))
-        stays = F.substr(run, F.greatest(i - (WINDOW - 1), F.lit(1)), F.least(i - 1, F.lit(WINDOW - 1)))
+    def step(state: Column, came: Column) -> Column:
+        full = F.char_length(state["window"]) == WINDOW
+        went = F.when(full, F.substr(state["window"], F.lit(1), F.lit(1))).otherwise(F.lit(""))
+        stays = F.when(full, F.substr(state["window"], F.lit(2), F.lit(WINDOW - 1))).otherwise(state["window"])
         out, into = count(stays, went), count(stays, came)
-        gone = F.when(i > WINDOW, _term(out) - _term(out + 1)).otherwise(F.lit(0.0))
+        gone = F.when(full, _term(out) - _term(out + 1)).otherwise(F.lit(0.0))
         s = state["s"] + gone + _term(into + 1) - _term(into)
         # In one step at most one of the two terms is of a character that both leave and enter; its
         # count among those that stay is the same before and after, so the order does not matter.
-        least = F.when(i >= WINDOW, F.least(state["least"], s)).otherwise(state["least"])
-        return F.struct(s.alias("s"), least.alias("least"))
+        least = F.when(F.char_length(stays) == WINDOW - 1, F.least(state["least"], s)).otherwise(state["least"])
+        return F.struct(F.concat(stays, came).alias("window"), s.alias("s"), least.alias("least"))
 
-    begin = F.struct(F.lit(0.0).alias("s"), F.lit(1e9).alias("least"))
-    whole = F.aggregate(F.sequence(F.lit(1), F.char_length(run)), begin, step, lambda state: state["least"])
-    return F.log2(F.lit(float(WINDOW))) - whole / WINDOW
+    begin = F.struct(F.lit("").alias("window"), F.lit(0.0).alias("s"), F.lit(1e9).alias("least"))
+    least = F.aggregate(F.split(run, ""), begin, step, lambda state: state["least"])
+    return F.greatest(F.lit(0.0), F.log2(F.lit(float(WINDOW))) - least / WINDOW)
 
 
 def _class(run: Column) -> Column:
-    """The character class that a candidate's limit depends on; NULL: never a secret."""
-    return F.when(run.rlike("[0-9]") & run.rlike("[A-Za-z]"), F.when(run.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), F.lit(3)).otherwise(F.lit(4)))
+    """The character class that a candidate's limit depends on, as a place in KINDS; NULL: signs only."""
+    digit, letter = run.rlike("[0-9]"), run.rlike("[A-Za-z]")
+    both = F.when(run.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), F.lit(3)).otherwise(F.lit(4))
+    return F.when(digit & letter, both).when(letter, F.lit(5)).when(digit, F.lit(6))
 
 
 def _is_secret(run: Column) -> Column:
-    allowed = F.lit(False)
-    for rule in ALLOWED:
-        allowed = allowed | run.rlike(rule)
-    limit = F.when(_class(run) == 3, F.lit(LIMITS["entropy_hex"])).otherwise(F.lit(LIMITS["entropy_mixed"]))
-    return _class(run).isNotNull() & ~allowed & (window_entropy(run) >= limit - _SLACK)
+    limit = F.element_at(F.array(*(F.lit(x) for x in LIMITS.values())), _class(run) - 2)
+    parts = F.filter(F.split(run, JOINING), lambda x: x != "")
+    allowed = run.rlike(COMMON_ID) | F.forall(parts, lambda x: x.rlike(WORD))
+    between = F.filter(F.split(run, PLACEHOLDER), lambda x: F.char_length(x) >= WINDOW)
+    high = _let(limit, lambda limit: F.exists(between, lambda x: window_entropy(x) >= limit - _SLACK))
+    return F.coalesce(_class(run).isNotNull() & ~allowed & high, F.lit(False))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -114,7 +151,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_t
 def with_spans(rows: DataFrame, text_col: str, spans_col: str = "spans") -> DataFrame:
     """`rows` with a column of the spans found in a text column."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    none = F.array().cast("array<struct<start:int,stop:int,kind:int,hit:string>>")
+    none = F.array().cast(_SPANS)
 
     def where(mark: Column, pattern: str, kind: int) -> Column:
         return F.when(mark, _found(text, pattern, kind)).otherwise(none)
