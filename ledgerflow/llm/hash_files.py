@@ -7,11 +7,10 @@ touched pages are read. The set of files that exist is passed along, so a missin
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
-from ledgerflow.llm.shared import mapped_file, put_file
+from ledgerflow.llm.shared import kept, mapped_file, put_file
 
 
 def bucket_of(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -38,7 +37,7 @@ def put_arrays(uri: str, *arrays: np.ndarray) -> None:
     put_file(uri, head.tobytes(), *(a.tobytes() for a in arrays))
 
 
-@lru_cache(maxsize=8192)
+@kept(8192)
 def get_arrays(uri: str, *kinds: type) -> list[np.ndarray]:
     raw = mapped_file(uri)
     n = int(raw[:8].view(np.int64)[0])

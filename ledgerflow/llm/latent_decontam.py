@@ -27,7 +27,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.hash_files import get_arrays, put_arrays, sums
-from ledgerflow.llm.shared import shared_folder, ship, stored
+from ledgerflow.llm.shared import kept, shared_folder, ship, stored
 from ledgerflow.llm.words import Words, buffers, slices, split
 
 #: Words of a window, and from one window's begin to the next's.
@@ -355,7 +354,7 @@ class Searcher:
                         yield d, int(self.ids[b + k]), at, end, share, answer
 
 
-@lru_cache(maxsize=2)
+@kept(2)
 def _searcher(space: Space) -> Searcher:
     return Searcher(space)
 

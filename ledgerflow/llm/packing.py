@@ -96,13 +96,17 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 4)
 
 
+#: Bytes of text that are encoded at a time.
+ENCODED = 2 << 20
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's token ids and the end id, cut into pieces of at most `capacity`; `part` and
     `local` number the pieces of each length within their task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = token_ids(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED):
             found, places = encoder.encode(batch.column("text"))
             sizes = np.diff(places) + 1
             ends = np.cumsum(sizes)
@@ -141,7 +145,8 @@ def pack(
     (little-endian unsigned 32-bit) on request. Texts are encoded once; the pieces are kept in the
     shared folder."""
     spark = docs.sparkSession
-    cut = stored(pieces(docs, tokenizer, capacity, end_id, keep_ids, id_col, text_col), "pieces")
+    # Token ids hardly shrink under fast codecs.
+    cut = stored(pieces(docs, tokenizer, capacity, end_id, keep_ids, id_col, text_col), "pieces", codec="zstd" if keep_ids else None)
     in_part = cut.groupBy("part", "length").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = stored(in_part.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "counts")

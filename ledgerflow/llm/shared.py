@@ -7,21 +7,47 @@ without a name (for mapping a file of a remote store), which vanishes with its l
 
 from __future__ import annotations
 
+import gc
 import mmap
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from functools import lru_cache
 from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 
 _SHIPPED: set[str] = set()
+_KEPT: list = []
+_STAGE: list[int] = [-1]
+
+
+def kept(most: int) -> Callable[[Callable], Callable]:
+    """`lru_cache` for what a worker keeps from task to task of one stage (see `new_stage`)."""
+
+    def wrap(f: Callable) -> Callable:
+        _KEPT.append(lru_cache(maxsize=most)(f))
+        return _KEPT[-1]
+
+    return wrap
+
+
+def new_stage() -> None:
+    """Called by a task as it begins: workers outlive stages, so what they kept for another stage
+    goes when the first task of a stage comes."""
+    task = TaskContext.get()
+    if task is not None and task.stageId() != _STAGE[0]:
+        _STAGE[0] = task.stageId()
+        for cache in _KEPT:
+            cache.cache_clear()
+        gc.collect()
 #: Rows of an Arrow batch, where the session keeps Spark's default of 10,000: whole texts are long.
 BATCH_ROWS = 2000
 
@@ -61,11 +87,13 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
-    """Write `df` once to the shared folder and read it back. `by`: column of sub-folders."""
+def stored(df: DataFrame, what: str, by: str | None = None, codec: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and read it back. `by`: column of
+    sub-folders; `codec`: of the files, where Spark's own would not do."""
     spark = df.sparkSession
     path = shared_folder(spark, what)
     writer = df.write.partitionBy(by) if by else df.write
+    writer = writer.option("compression", codec) if codec else writer
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -98,7 +126,7 @@ def put_file(uri: str, *pieces: bytes) -> None:
     store.move(spare, path)
 
 
-@lru_cache(maxsize=4096)
+@kept(4096)
 def mapped_file(uri: str) -> np.ndarray:
     """The bytes of a shared file, memory-mapped: pages are read when touched, and workers of one
     machine share them."""
@@ -124,11 +152,22 @@ def read_range(uri: str, start: int, size: int) -> bytes:
         return f.read_at(size, start)
 
 
-
-
 def file_size(uri: str) -> int | None:
     """Bytes of a shared file; None if it is not there."""
     if (path := _place(uri)) is not None:
         return os.path.getsize(path) if os.path.exists(path) else None
     store, path = pafs.FileSystem.from_uri(uri)
     return store.get_file_info(path).size
+
+
+def drop_files(folder: str) -> None:
+    """Remove the files in a shared folder; it need not be there."""
+    if (path := _place(folder)) is not None:
+        for x in Path(path).glob("*") if os.path.isdir(path) else ():
+            if x.is_file():
+                x.unlink()
+        return
+    store, path = pafs.FileSystem.from_uri(folder)
+    for x in store.get_file_info(pafs.FileSelector(path, allow_not_found=True)):
+        if x.type == pafs.FileType.File:
+            store.delete_file(x.path)

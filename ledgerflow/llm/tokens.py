@@ -13,12 +13,12 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from ledgerflow.llm.shared import kept
 from ledgerflow.llm.words import LOWER, Words, buffers, ragged, runs, split
 
 #: Pieces that a worker remembers before it starts anew.
@@ -38,12 +38,12 @@ _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullm
 _WIDE_SPACE = re.compile("[\u0085   -     　 \t-\r]")
 
 
-@lru_cache(maxsize=4)
+@kept(4)
 def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-@lru_cache(maxsize=4)
+@kept(4)
 def specials(path: str) -> tuple[str, ...]:
     return tuple(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
 
@@ -134,7 +134,7 @@ class TokenIds:
         return ragged(self.known.flat, self.known.start[row], sizes), places[found.first]
 
 
-@lru_cache(maxsize=4)
+@kept(4)
 def token_ids(path: str) -> TokenIds:
     """One per worker, so pieces stay known from task to task."""
     return TokenIds(path)
@@ -358,7 +358,7 @@ class PrefixCounts:
         return tokens, steps, chars[offsets]
 
 
-@lru_cache(maxsize=4)
+@kept(4)
 def prefix_counts(path: str) -> PrefixCounts:
     """One per worker, so pieces stay known from task to task."""
     return PrefixCounts(path)

@@ -17,6 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from ledgerflow.llm.shared import new_stage
+
 # Arrow's own pool keeps what it once took; the system's gives large blocks back.
 pa.set_memory_pool(pa.system_memory_pool())
 
@@ -37,6 +39,7 @@ def give_back() -> None:
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about `most` bytes of text."""
+    new_stage()
     give_back()
     for batch in batches:
         if not batch.num_rows:
