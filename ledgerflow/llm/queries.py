@@ -78,8 +78,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards, index = training_order.materialise(documents(spark, sf_dir), TOKENIZER, SEQUENCE)
-    return training_order.with_checksums(index, shards)
+    return training_order.materialise(documents(spark, sf_dir), TOKENIZER, SEQUENCE)[1]
 
 
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,13 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.shared import file_size, put_file, read_range, shared_folder, ship
+from ledgerflow.llm.shared import drop_files, file_size, put_file, read_range, shared_folder, ship
 from ledgerflow.llm.tokens import token_ids, tokenizer as open_tokenizer
-from ledgerflow.llm.words import slices, spread
+from ledgerflow.llm.words import runs, slices, spread
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ROUNDS = 6
-SEQUENCES = "part int, local long, length int, ids binary, doc_ids array<long>, starts array<int>"
+SEQUENCES = "part int, local long, length int, ids_crc32 long, ids binary, doc_ids array<long>, starts array<int>"
 
 
 class Feistel:
@@ -108,9 +108,9 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, width:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, local = token_ids(tokenizer), TaskContext.get().partitionId(), 0
-        rest, rest_ids, rest_starts = np.zeros(0, f"<u{width}"), [], []
+        rest, rest_ids, rest_starts = np.zeros(0, f"<u{width}"), pa.array([], pa.int64()), []
 
-        def out(stream: np.ndarray, ids: list, starts: np.ndarray, count: int) -> pa.RecordBatch:
+        def out(stream: np.ndarray, ids: pa.Array, starts: np.ndarray, count: int) -> pa.RecordBatch:
             """The first `count` sequences of a stream; documents begin at `starts`."""
             raw, size = memoryview(stream.tobytes()), length * width
             edges = np.arange(count) * length
@@ -118,12 +118,15 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, width:
             # The document at a sequence's begin is the last that starts there or before.
             first = np.searchsorted(starts, edges, "right") - 1
             last = np.searchsorted(starts, ends, "left")
-            docs_of = [ids[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-            starts_of = [(starts[a:b] - e).astype(np.int32) for a, b, e in zip(first.tolist(), last.tolist(), edges.tolist(), strict=True)]
+            many = last - first
+            here = np.repeat(first, many) + runs(many)
+            places = pa.array(np.append(0, np.cumsum(many)).astype(np.int32))
+            docs_of = pa.ListArray.from_arrays(places, ids.take(pa.array(here)))
+            starts_of = pa.ListArray.from_arrays(places, pa.array((starts[here] - np.repeat(edges, many)).astype(np.int32)))
+            cuts = [raw[k * size : (k + 1) * size] for k in range(count)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(count, part), pa.int32()), pa.array(np.arange(local, local + count)), pa.array(ends - edges, pa.int32()),
-                 pa.array([raw[k * size : (k + 1) * size] for k in range(count)], pa.binary()),
-                 pa.array(docs_of, pa.list_(pa.int64())), pa.array(starts_of, pa.list_(pa.int32()))], names
+                 pa.array(list(map(zlib.crc32, cuts)), pa.int64()), pa.array(cuts, pa.binary()), docs_of, starts_of], names
             )
 
         for batch in slices(batches, "text"):
@@ -135,7 +138,7 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, width:
             mask[ends - 1] = False
             stream[mask] = found
             stream = np.concatenate([rest, stream])
-            ids = rest_ids + batch.column("doc_id").to_pylist()
+            ids = pa.concat_arrays([rest_ids, batch.column("doc_id")])
             starts = np.concatenate([np.array(rest_starts, np.int64), len(rest) + ends - sizes])
             count = len(stream) // length
             if count:
@@ -144,7 +147,7 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, width:
             done = count * length
             rest = stream[done:]
             keep = max(0, int(np.searchsorted(starts, done, "right")) - 1) if len(rest) else len(starts)
-            rest_ids, rest_starts = ids[keep:], (starts[keep:] - done).tolist()
+            rest_ids, rest_starts = ids.slice(keep), (starts[keep:] - done).tolist()
         if len(rest):
             yield out(rest, rest_ids, np.array(rest_starts, np.int64), 1)
 
@@ -156,7 +159,8 @@ def materialise(
     per_shard: int | None = None, id_col: str = "doc_id", text_col: str = "text",
 ) -> tuple[Shards, DataFrame]:
     """Write the shards below `path` (default: the shared folder). Gives what reads them, and a row
-    for each sequence: slot, shard, position, length, doc_ids, starts."""
+    for each sequence: slot, shard, position, length, doc_ids, starts, ids_crc32 (of its ids, without the fill).
+    With a `path`, shards of the same order are taken up, and those of any other go first."""
     spark = docs.sparkSession
     ship(spark)
     folder = path or shared_folder(spark, "training-order")
@@ -169,30 +173,32 @@ def materialise(
     in_part = cut.groupBy("part").agg(F.count("*").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = in_part.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))  # one row a task
-    total = in_part.agg(F.sum("n").alias("n")).first()["n"] or 0
+    whole = cut.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(part, local, length, ids_crc32))").alias("mark")).first()
+    total, mark = whole["n"], whole["mark"]  # the mark tells one set of numbered sequences from another
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     per_shard = per_shard or max(256, -(-total // (8 * tasks)))
     shards = Shards(folder, total, per_shard, length, width)
     order = Feistel(total, key)
-    numbered = cut.join(F.broadcast(base.drop("n")), "part")
+    numbered = cut.join(base.drop("n"), "part")  # one row a task; broadcast where that is known to be small
 
     def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             slot = order.slot(batch.column("number").to_numpy())
             by = np.argsort(slot)
-            raw = batch.column("ids").to_pylist()
+            raw, size, crc = batch.column("ids").to_pylist(), batch.column("length").to_numpy(), batch.column("ids_crc32").to_numpy()
             shard = slot[by] // per_shard
             heads = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(by) else []
             tails = np.append(heads[1:], len(by)) if len(by) else []
             rows = []
             for i, j in zip(heads, tails, strict=True):
-                pick = by[i:j].tolist()
-                body = b"".join(raw[k].ljust(shards.stride, b"\0") for k in pick)
-                rows.append((int(shard[i]), slot[by[i:j]].tobytes(), pack.compress(body)))
+                pick = by[i:j]
+                body = b"".join([raw[k].ljust(shards.stride, b"\0") for k in pick.tolist()])
+                rows.append((int(shard[i]) // ahead, int(shard[i]), slot[pick].tobytes(), size[pick].tobytes(), crc[pick].tobytes(), pack.compress(body)))
             if rows:
-                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "slots", "body"])
+                kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["range", "shard", "slots", "sizes", "crcs", "body"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
@@ -200,10 +206,17 @@ def materialise(
         def flush() -> pa.RecordBatch:
             n = shards.rows(shard)
             if file_size(shards.file(shard)) != n * shards.stride:
-                body = np.zeros((n, shards.stride), np.uint8)
-                for slots, packed in held:
+                body, came = np.zeros((n, shards.stride), np.uint8), 0
+                for slots, sizes, crcs, packed in held:
                     rows = np.frombuffer(slots, np.int64) - shard * per_shard
-                    body[rows] = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(len(rows), -1)
+                    part = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(len(rows), -1)
+                    own = zip(part, np.frombuffer(sizes, np.int32).tolist(), np.frombuffer(crcs, np.int64).tolist(), strict=True)
+                    if any(zlib.crc32(ids[: size * width]) != crc for ids, size, crc in own):
+                        raise RuntimeError(f"shard {shard}: a sequence has changed on its way")
+                    body[rows] = part
+                    came += len(rows)
+                if came != n:
+                    raise RuntimeError(f"shard {shard}: {came} of {n} sequences came")
                 put_file(shards.file(shard), body.tobytes())
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64())], ["shard"])
 
@@ -213,32 +226,41 @@ def materialise(
                     yield flush()
                     held = []
                 shard = row["shard"]
-                held.append((row["slots"], row["body"]))
+                held.append((row["slots"], row["sizes"], row["crcs"], row["body"]))
         if held:
             yield flush()
 
+    # What is there from another order, or from no known one, goes before this order is named.
+    facts = json.dumps({k: v for k, v in asdict(shards).items() if k != "folder"} | {"key": key, "fingerprint": mark}).encode()
+    manifest = f"{folder}/manifest.json"
+    if file_size(manifest) != len(facts) or read_range(manifest, 0, len(facts)) != facts:
+        drop_files(folder)
+        put_file(manifest, facts)
     count = -(-total // per_shard)
-    sent = numbered.select((F.col("before") + F.col("local")).alias("number"), "ids").mapInArrow(to_shards, "shard long, slots binary, body binary")
-    written = sent.repartition(max(1, count), "shard").sortWithinPartitions("shard").mapInArrow(write, "shard long").count()
+    ahead = max(1, -(-count // tasks))
+    sent = numbered.select((F.col("before") + F.col("local")).alias("number"), "length", "ids_crc32", "ids")
+    sent = sent.mapInArrow(to_shards, "range int, shard long, slots binary, sizes binary, crcs binary, body binary")
+    ranges = sent.repartitionById(max(1, -(-count // ahead)), "range").sortWithinPartitions("shard")
+    written = ranges.mapInArrow(write, "shard long").count()
     if written != count:
         raise RuntimeError(f"{written} of {count} shards were written")
-    facts = {k: v for k, v in asdict(shards).items() if k != "folder"} | {"key": key}
-    put_file(f"{folder}/manifest.json", json.dumps(facts).encode())
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = order.slot(batch.column("number").to_numpy())
             yield batch.drop_columns(["number"]).append_column("slot", pa.array(slot))
 
-    rows = numbered.select((F.col("before") + F.col("local")).alias("number"), "length", "doc_ids", "starts")
-    placed = rows.mapInArrow(place, "length int, doc_ids array<long>, starts array<int>, slot long")
+    rows = numbered.select((F.col("before") + F.col("local")).alias("number"), "length", "doc_ids", "starts", "ids_crc32")
+    placed = rows.mapInArrow(place, "length int, doc_ids array<long>, starts array<int>, ids_crc32 long, slot long")
     index = placed.withColumn("shard", F.expr(f"slot div {per_shard}")).withColumn("position", F.expr(f"slot % {per_shard}"))
-    return shards, index.select("slot", "shard", "position", "length", "doc_ids", "starts")
+    return shards, index.select("slot", "shard", "position", "length", "doc_ids", "starts", "ids_crc32")
 
 
 def with_checksums(index: DataFrame, shards: Shards) -> DataFrame:
-    """`index` with the CRC-32 of each sequence's ids (without the fill), read from the shards."""
+    """`index` with the CRC-32 of each sequence's ids (without the fill) as it is read back from the shards,
+    to check a stored order; `materialise` has checked them as it wrote."""
     ship(index.sparkSession)
+    index = index.drop("ids_crc32")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

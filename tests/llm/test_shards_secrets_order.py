@@ -161,6 +161,46 @@ def test_training_order(spark, tmp_path):
     assert first.stat().st_mtime_ns == before and again.read(0, 100).shape[0] == min(100, shards.sequences)
 
 
+def test_training_order_holds_the_library_s_ids(spark, tmp_path):
+    """Every document's ids, read back from the shards in the order of its task's stream, are the library's."""
+    rnd = random.Random(4)
+    rows = [(k, " ".join(rnd.choice(["alpha", "Été", "don't", "x1y2", "...", "zebra-9"]) for _ in range(rnd.choice([0, 1, 5, 90])))) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    shards, index = training_order.materialise(docs, PATH, length=16, end_id=0, key=3, path=f"file://{tmp_path}/order", per_shard=7)
+    library, got = tokens.tokenizer(PATH), {}
+    placed = {training_order.Feistel(shards.sequences, 3).number(np.array([r["slot"]]))[0]: r for r in index.collect()}
+    back = {r["slot"]: r["ids_crc32"] for r in training_order.with_checksums(index, shards).collect()}
+    for _, r in sorted(placed.items()):
+        assert back[r["slot"]] == r["ids_crc32"]
+        own, ends = shards.read(r["slot"])[0].tolist(), [*r["starts"][1:], r["length"]]
+        for doc, a, b in zip(r["doc_ids"], r["starts"], ends, strict=True):
+            got.setdefault(doc, []).extend(own[max(a, 0) : b])
+    assert got == {k: [*library.encode(t, add_special_tokens=False).ids, 0] for k, t in rows}
+
+
+def test_training_order_never_mixes_two_orders(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"word{k} " * (k % 9)) for k in range(90)], "doc_id long, text string").repartition(2)
+    path = f"file://{tmp_path}/order"
+
+    def bodies():
+        return {p.name: p.read_bytes() for p in sorted((tmp_path / "order").iterdir()) if p.suffix == ".bin"}
+
+    make = lambda d, key, where=path: training_order.materialise(d, PATH, length=16, key=key, path=where, per_shard=5)
+    make(docs, 1)
+    first = bodies()
+    make(docs, 2)
+    other = bodies()
+    assert first.keys() == other.keys() and first != other
+    (tmp_path / "order" / "manifest.json").unlink()  # a run that ended before it named its order
+    make(docs, 1)
+    assert bodies() == first
+    shorter = docs.where("doc_id < 40")
+    make(shorter, 1)
+    assert len(bodies()) < len(first)
+    make(shorter, 1, f"file://{tmp_path}/alone")
+    assert bodies() == {p.name: p.read_bytes() for p in sorted((tmp_path / "alone").iterdir()) if p.suffix == ".bin"}
+
+
 def test_training_order_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     shards, index = training_order.materialise(docs, PATH, length=16)
