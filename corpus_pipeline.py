@@ -87,8 +87,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document in training sequences."""
-    return packing.pack(docs, TOKENIZER, SEQUENCE)
+    """Every kept document in training sequences: the token ids of each piece with their place."""
+    return packing.pack(docs, TOKENIZER, SEQUENCE, keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
