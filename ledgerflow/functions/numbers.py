@@ -10,6 +10,8 @@ of amounts overflows. An amount that is not a number makes its sum one that is n
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,8 +30,8 @@ _MILLION = 1_000_000
 _LARGE = 9e14
 
 
-def sum_units(c: Column, scale: int = MONEY, where: Column | None = None) -> Column:
-    """SUM of whole units as DECIMAL(38,0); NaN amounts count 0 here (see `exact_sum`)."""
+def _parts(c: Column, scale: int, where: Column | None = None) -> tuple[Column, Column]:
+    """Millions of whole units, and the units left."""
     c = F.nanvl(c.cast("double"), F.lit(0.0))
     large = F.abs(c) >= F.lit(_LARGE)
     u = units(c, scale)
@@ -39,7 +41,40 @@ def sum_units(c: Column, scale: int = MONEY, where: Column | None = None) -> Col
     low = F.when(large, rest).otherwise(u - high * _MILLION)
     if where is not None:
         high, low = (F.when(where, x).otherwise(F.lit(0)) for x in (high, low))
-    return (F.sum(high).cast("decimal(31,0)") * F.lit(_MILLION)).cast("decimal(38,0)") + F.sum(low)
+    return high, low
+
+
+def _joined(high: Column, low: Column) -> Column:
+    return (high.cast("decimal(31,0)") * F.lit(_MILLION)).cast("decimal(38,0)") + low
+
+
+def sum_units(c: Column, scale: int = MONEY, where: Column | None = None) -> Column:
+    """SUM of whole units as DECIMAL(38,0); NaN amounts count 0 here (see `exact_sum`)."""
+    high, low = _parts(c, scale, where)
+    return _joined(F.sum(high), F.sum(low))
+
+
+def sum_state(name: str, c: Column, scale: int = MONEY) -> dict[str, Column]:
+    """The sum and number of `c` as aggregates that can be added up later (`merged_state`): the two
+    parts of the units, whether an amount is not a number, and how many there are."""
+    high, low = _parts(c, scale)
+    return {f"{name}_high": F.sum(high), f"{name}_low": F.sum(low), f"{name}_odd": F.max(F.isnan(c)), f"{name}_n": F.count(c)}
+
+
+def merged_state(name: str) -> dict[str, Column]:
+    """Aggregates that bring several states of `name` together."""
+    return {x: F.max(x) if x.endswith("_odd") else F.sum(x) for x in (f"{name}_high", f"{name}_low", f"{name}_odd", f"{name}_n")}
+
+
+def state_sum(name: str, scale: int = MONEY) -> Column:
+    """What `exact_sum` gives, from the columns of a state."""
+    total = _joined(F.col(f"{name}_high"), F.col(f"{name}_low")).cast("double") / F.lit(float(10**scale))
+    return F.when(F.col(f"{name}_odd"), F.lit(float("nan"))).otherwise(total)
+
+
+def state_avg(name: str, scale: int = MONEY) -> Column:
+    """What `exact_avg` gives, from the columns of a state."""
+    return F.try_divide(state_sum(name, scale), F.col(f"{name}_n"))
 
 
 def round_units(c: Column, scale: int = MONEY) -> Column:
@@ -55,12 +90,18 @@ def exact_sum(c: Column, scale: int = MONEY, where: Column | None = None) -> Col
 
 
 def decimal_sum(c: Column) -> Column:
-    """SUM at 8 decimals, for prices and volumes of coins; the rows are few."""
-    return F.sum(c.cast("decimal(28,8)")).cast("double")
+    """SUM at 8 decimals, for prices and volumes of coins: whole numbers and hundred-millionths are
+    added apart, each as BIGINT. A value that is infinite or not a number decides the sum."""
+    finite = F.abs(c) < F.lit(float("inf"))
+    known = F.when(finite, c)
+    whole = F.floor(known)
+    rest = F.floor((known - whole) * F.lit(1e8) + F.lit(0.5))
+    total = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * F.lit(Decimal("0.00000001"))
+    return F.coalesce(F.sum(F.when(~finite, c)), total.cast("double"))
 
 
 def decimal_avg(c: Column) -> Column:
-    """AVG at 8 decimals; NULL rows are left out."""
+    """AVG at 8 decimals; NULL rows are left out, NaN counts and makes the average NaN."""
     return F.try_divide(decimal_sum(c), F.count(c))
 
 

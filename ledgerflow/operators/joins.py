@@ -74,23 +74,29 @@ def price_tx_join(prices: DataFrame, tx: DataFrame) -> DataFrame:
     )
 
 
-def latest_by(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """All rows that carry their key's largest timestamp; ties are all kept.
+def latest_by(df: DataFrame, keys: Sequence[str], ts: str, null_safe: bool = False) -> DataFrame:
+    """All rows that carry their key's largest timestamp; ties are all kept. Rows with a NULL key or
+    timestamp match nothing, as in SQL; with `null_safe` NULL is a key like others, and rows of a key
+    that has no timestamp at all come out.
 
     The newest timestamp per key is found by a map-side aggregate; the semi join's right side
     has one row per key, and the optimiser broadcasts it only when its measured size allows.
     """
     newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return df.join(newest, [*keys, ts], "left_semi")
+    if not null_safe:
+        return df.join(newest, [*keys, ts], "left_semi")
+    names = {x: f"__newest_{x}" for x in (*keys, ts)}
+    same = [c(x).eqNullSafe(c(y)) for x, y in names.items()]
+    return df.join(newest.withColumnsRenamed(names), same, "left_semi")
 
 
 def one_latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last in `order`: `row_number() = 1` without sorting whole keys.
 
     The greatest first value of a key is found by a hash aggregate; only rows that carry it go on to
-    the comparison of whole rows. Keys must not be NULL in rows that are to come out.
+    the comparison of whole rows. A NULL key is a key like others.
     """
-    df = latest_by(df, keys, order[0])
+    df = latest_by(df, keys, order[0], null_safe=True)
     others = [x for x in df.columns if x not in keys and x not in order]
     last = Window.partitionBy(*keys).orderBy(*[F.desc(x) for x in (*order, *others)])
     return df.withColumn("__rank", F.row_number().over(last)).where("__rank = 1").drop("__rank")

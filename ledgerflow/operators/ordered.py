@@ -1,32 +1,54 @@
 """Order-dependent operators that do not gather a key into one task.
 
-A window partitioned by a user or a symbol puts all rows of that key into one task, and one
-key may hold a third of the data. `with_previous` splits the sort order instead of the keys:
-rows are range-partitioned by (key, order), so a hot key spans many slices, and each slice
-receives the few rows just before it from the slices to its left.
+A window partitioned by a user or a symbol puts all rows of that key into one task, and one key may
+hold a third of the data. So keys with many rows are cut into *slices* of their order, and each slice
+receives the few rows just before it from the slices to its left. The cuts of a key are quantiles of
+a sample of its rows that depends on nothing but the rows' content: wherever and however often the
+plan computes them, they come out the same. So nothing has to be counted or stored while a frame is
+built, and a lost task changes no slice. The sample decides how even the slices are, never a result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.numbers import percent
-from ledgerflow.session import cut_lineage
 
 ROWS_PER_SLICE = 5_000_000
+#: Sampled rows per cut of a key, about, and the most cuts of a key.
+SAMPLED, MOST_CUTS = 32, 4096
+_GRAINS = 1 << 40
 
 
-def sliced(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """`df` cut into even, ordered slices numbered by `__slice`, stored once."""
-    if slices is None:
-        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        slices = max(least, math.ceil(df.count() / ROWS_PER_SLICE))
-    ranged = df.repartitionByRange(slices, *order)
-    return cut_lineage(ranged.withColumn("__slice", F.spark_partition_id()))
+def _same(keys: Sequence[str], left: str, right: str) -> list[Column]:
+    return [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
+
+
+def cuts_of(df: DataFrame, keys: Sequence[str], by: str, rows_per_slice: int, slices: int | None = None) -> DataFrame:
+    """keys, `__cuts`: for each key of more than `rows_per_slice` rows the ordered values of `by` at which
+    its slices end (`slices` of them if given, else as its rows demand)."""
+    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rows_per_slice)
+    wanted = F.lit(slices - 1) if slices else F.least(F.ceil(F.col("__n") / rows_per_slice), F.lit(MOST_CUTS))
+    many = many.withColumn("__wanted", wanted.cast("int")).where("__wanted > 0")
+    # A row is sampled by its content: about SAMPLED rows for each cut.
+    grain = F.pmod(F.xxhash64(*keys, by), F.lit(_GRAINS))
+    share = F.col("m.__wanted") * F.lit(float(SAMPLED)) / F.col("m.__n")
+    rows = df.select(*keys, by).where(F.col(by).isNotNull()).withColumn("__grain", grain)
+    sample = rows.alias("r").join(many.alias("m"), [*_same(keys, "r", "m"), F.col("r.__grain") < share * F.lit(float(_GRAINS))])
+    seen = sample.groupBy(*[F.col(f"r.`{k}`") for k in keys], "m.__wanted").agg(F.sort_array(F.collect_set(f"r.`{by}`")).alias("__seen"))
+    size, n = F.size("__seen"), F.col("__wanted")
+    picks = F.transform(F.sequence(F.lit(1), n), lambda k: F.try_element_at("__seen", F.greatest(F.lit(1), (k * size / (n + 1)).cast("int"))))
+    return seen.where(size > 0).select(*keys, F.array_distinct(picks).alias("__cuts"))
+
+
+def with_slices(df: DataFrame, keys: Sequence[str], by: str, cuts: DataFrame) -> DataFrame:
+    """`df` with `__slice`: how many cuts of its key lie below a row, NULL for keys without cuts. The cuts
+    are few rows, so their side is broadcast where its size is known to be small."""
+    place = F.size(F.filter("c.__cuts", lambda x: F.coalesce(x < F.col(f"r.`{by}`"), F.lit(False))))
+    return df.alias("r").join(cuts.alias("c"), _same(keys, "r", "c"), "left").select("r.*", F.when(F.col("c.__cuts").isNotNull(), place).alias("__slice"))
 
 
 def with_previous(
@@ -37,56 +59,43 @@ def with_previous(
     n: int,
     name: str = "previous",
     slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Add `name`: the last `n` values before the row in its key, oldest first.
 
-    `order` must be total inside a key. The number of slices follows the number of rows unless
-    given. The slice number is fixed by writing the sliced rows once to the checkpoint folder,
-    as both the rows and the hand-over table read it.
+    `order` must be total inside a key; slices are cut by its first column, so rows that are equal in
+    it stay in one slice. Keys of up to `rows_per_slice` rows are not sliced; with `slices` every key is
+    cut into about so many. The result is lazy: building it runs no job.
     """
     keys, order = list(keys), list(order)
-    cut = sliced(df, [*keys, *order], slices)
-    here = ["__slice", *keys]
-    back = Window.partitionBy(*here).orderBy(*[F.desc(o) for o in order])
+    if slices is not None:
+        rows_per_slice = 0
+    cut = with_slices(df, keys, order[0], cuts_of(df, keys, order[0], rows_per_slice, slices))
+    here = [*keys, "__slice"]
     inside = Window.partitionBy(*here).orderBy(*order).rowsBetween(-n, -1)
-    # A struct keeps NULL values in the collected lists.
-    boxed = F.struct(F.col(value).alias("v"))
-
-    # Slices are ordered, so only the last key of a slice can go on in the next one.
-    edge = cut.groupBy("__slice").agg(F.max(F.struct(*keys)).alias("__key"))
-    follow = F.lead("__slice").over(Window.orderBy("__slice"))  # one row per slice
-    edge = edge.select(F.col("__slice").alias("__at"), F.col("__key"), follow.alias("__next"))
-    same = [F.col(k).eqNullSafe(F.col(f"__key.{k}")) for k in keys]
+    back = Window.partitionBy(*here).orderBy(*[F.desc(o) for o in order])
+    boxed = F.struct(F.col(value).alias("v"))  # a struct keeps NULL values in the collected lists
+    # The last rows of each slice of a sliced key: n for each slice.
     tails = (
-        cut.join(edge, [F.col("__slice") == F.col("__at"), *same])
-        .select(*here, *order, "__next", boxed.alias("__v"))
+        cut.where(F.col("__slice").isNotNull())
+        .select(*here, *[o for o in order if o not in keys], boxed.alias("__v"))
         .withColumn("__rank", F.row_number().over(back))
         .where(F.col("__rank") <= n)
-        .groupBy(*here, "__next")
+        .groupBy(*here)
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("__rank")).alias("r"), "__v"))).alias("t"))
-        .select(*here, "__next", F.transform("t", lambda x: x["__v"]).alias("__tail"))
-    )
-    # One row per slice: small. Each is handed to the slice after it, together with as many
-    # tails before it as can matter (a tail holds at least one row).
-    left = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(-(n - 1), 0)
-    carry = tails.withColumn("__all", F.flatten(F.collect_list("__tail").over(left))).select(
-        F.col("__next").alias("__slice"),
-        *keys,
-        F.col("__all").alias("__carry"),
+        .select(*here, F.transform("t", lambda x: x["__v"]).alias("__tail"))
     )
+    # A tail holds at least one row, so n slices to the left are enough; slices without rows of a
+    # key have no tail, and the next one takes what lies before them.
+    left = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(-n, -1)
+    carry = tails.withColumn("__carry", F.flatten(F.collect_list("__tail").over(left))).drop("__tail")
 
     rows = cut.withColumn("__in", F.collect_list(boxed).over(inside))
-    match = [F.col(f"r.{k}").eqNullSafe(F.col(f"k.{k}")) for k in here]
-    joined = rows.alias("r").join(carry.alias("k"), match, "left")
-    both = F.when(F.col("k.__carry").isNull(), F.col("r.__in")).otherwise(
-        F.concat(F.col("k.__carry"), F.col("r.__in"))
-    )
+    joined = rows.alias("r").join(carry.alias("k"), _same(here, "r", "k"), "left")
+    both = F.when(F.col("k.__carry").isNull(), F.col("r.__in")).otherwise(F.concat(F.col("k.__carry"), F.col("r.__in")))
     start = F.greatest(F.size(both) - F.lit(n - 1), F.lit(1))
     last = F.slice(both, start, F.lit(n))
-    return joined.select(
-        *[F.col(f"r.{c}") for c in df.columns],
-        F.transform(last, lambda x: x["v"]).alias(name),
-    )
+    return joined.select(*[F.col(f"r.`{x}`") for x in df.columns], F.transform(last, lambda x: x["v"]).alias(name))
 
 
 def price_changes(
@@ -149,13 +158,13 @@ def behavior_zscore(
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], slices: int | None = None
+    df: DataFrame, cols: Sequence[str], probabilities: Sequence[float], slices: int | None = None, values_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """(column, q0, q1, ...): the smallest value whose rank reaches each share of the rows.
 
-    Values are counted first, so equal values cost one row however often they occur. The
-    counts are cut into ordered slices; a slice learns how many rows lie before it from the
-    slice totals, and only then ranks its own values.
+    Values are counted first, so equal values cost one row however often they occur. The distinct
+    values of a column are cut into ordered slices; the rows in each are added up, which tells the
+    slice that holds a wanted rank, and only the values of those slices are ranked one by one. Lazy.
     """
     cells = [F.struct(F.lit(x).alias("column"), F.col(x).cast("double").alias("value")) for x in cols]
     counts = (
@@ -164,27 +173,28 @@ def exact_quantiles(
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cut = sliced(cut_lineage(counts), ["column", "value"], slices)
-    by_column = Window.partitionBy("column")
+    cuts = cuts_of(counts, ["column"], "value", values_per_slice if slices is None else 0, slices)
+    cut = with_slices(counts, ["column"], "value", cuts).withColumn("__slice", F.coalesce("__slice", F.lit(0)))
+    by_column = Window.partitionBy("column")  # one row per slice
     before = by_column.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    shares = F.array(*[F.lit(float(p)) for p in probabilities])
     totals = (
         cut.groupBy("column", "__slice")
         .agg(F.sum("n").alias("t"))
         .select(
             "column",
             "__slice",
+            "t",
             F.coalesce(F.sum("t").over(before), F.lit(0)).alias("skipped"),
-            F.sum("t").over(by_column).alias("whole"),
+            F.transform(shares, lambda p: F.greatest(F.ceil(F.sum("t").over(by_column) * p), F.lit(1))).alias("targets"),
         )
+        .where(F.exists("targets", lambda x: (F.col("skipped") < x) & (x <= F.col("skipped") + F.col("t"))))
     )
     inside = Window.partitionBy("column", "__slice").orderBy("value")
-    ranked = cut.withColumn("upto", F.sum("n").over(inside)).join(totals, ["column", "__slice"])
-    last = F.col("skipped") + F.col("upto")
+    ranked = cut.join(totals, ["column", "__slice"]).withColumn("upto", F.col("skipped") + F.sum("n").over(inside))
 
-    def at(p: float) -> Column:
-        target = F.greatest(F.ceil(F.col("whole") * F.lit(float(p))), F.lit(1))
-        return F.max(F.when((last >= target) & (last - F.col("n") < target), F.col("value")))
+    def at(i: int) -> Column:
+        target = F.col("targets")[i]
+        return F.max(F.when((F.col("upto") >= target) & (F.col("upto") - F.col("n") < target), F.col("value")))
 
-    return ranked.groupBy("column").agg(
-        *[at(p).alias(f"q{i}") for i, p in enumerate(probabilities)]
-    )
+    return ranked.groupBy("column").agg(*[at(i).alias(f"q{i}") for i in range(len(probabilities))])

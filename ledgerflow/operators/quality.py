@@ -15,7 +15,6 @@ from ledgerflow import fixed
 from ledgerflow.functions.cleaning import coerce
 from ledgerflow.functions.numbers import percent
 from ledgerflow.operators.ordered import exact_quantiles
-from ledgerflow.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -221,12 +220,16 @@ def numeric_summary(
         return [found[i] for i in range(3)]
 
     def ranked(col: str) -> list[Column]:
-        return [
-            quantiles.where(F.col("column") == col).select(f"q{i}").scalar() for i in range(3)
-        ]
-
-    if exact:
-        quantiles = cut_lineage(exact_quantiles(df, cols, shares))
-    one = df.agg(*[named(x, ranked(x) if exact else sketch(x)) for x in cols])
+        return [F.col(f"__quartiles.`{col}`.q{i}") for i in range(3)]
+
+    if exact:  # one row, asked for once
+        found = exact_quantiles(df, cols, shares)
+        wide = [F.max(F.when(F.col("column") == x, F.struct("q0", "q1", "q2"))).alias(x) for x in cols]
+        quartiles = found.agg(*wide).select(F.struct(*[f"`{x}`" for x in cols])).scalar()
+        cells = [named(x, [F.lit(None).cast("double")] * 3) for x in cols]
+        one = df.agg(*cells).withColumn("__quartiles", quartiles)
+        one = one.select(*[F.concat(F.slice(x, 1, 4), F.array(*ranked(x)), F.slice(x, 8, 1)).alias(x) for x in cols])
+    else:
+        one = df.agg(*[named(x, sketch(x)) for x in cols])
     rows = F.arrays_zip(F.array(*[F.lit(s) for s in STATISTICS]).alias("summary"), *cols)
     return one.select(F.inline(rows))

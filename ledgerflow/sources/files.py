@@ -28,6 +28,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in store.listStatus(hadoop) if x.isDirectory()] if store.exists(hadoop) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that is in it; it need not be there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def read_existing(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     """One frame over the paths that exist, or None; missing ones are skipped."""
     found = [p for p in paths if exists(spark, p)]

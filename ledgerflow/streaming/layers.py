@@ -24,6 +24,7 @@ from ledgerflow.sinks import stream as sink
 from ledgerflow.sinks.batch import replace_date
 from ledgerflow.sources.events import parse_events, valid_events
 from ledgerflow.sources.files import read_layer_stream
+from ledgerflow.streaming import incremental
 
 
 @dataclass(frozen=True)
@@ -127,12 +128,17 @@ def start_gold(
     paths: Paths,
     trigger: int | str = sink.INTERVALS["gold"],
     files_per_batch: int | None = None,
-    tables: Mapping[str, object] = gold.GOLD_TABLES,
+    tables: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Cleaned layer to the aggregate tables: each batch only says which days changed."""
+    """Cleaned layer to the aggregate tables. A batch adds its states to those of its days and never
+    opens cleaned files of other batches (`streaming.incremental`). With `tables` of one's own, whose
+    states are not known, a batch only says which days are computed again (`refresh_days`)."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        refresh_days(batch.sparkSession, paths, batch.select("event_date"), tables)
+        if tables is None:
+            incremental.add_batch(batch, batch_id, paths.layer("gold_state"), paths.layer("gold"))
+        else:
+            refresh_days(batch.sparkSession, paths, batch.select("event_date"), tables)
 
     return sink.write_each(
         read_silver_stream(spark, paths, files_per_batch),
