@@ -263,6 +263,31 @@ add(
     lambda spark, sf: silver_tx(spark, sf).select(*_SILVER_OUT),
     _silver_sql(_SILVER_OUT),
 )
+#: Every column of the cleaned row; what the view holds only one value of is that value here.
+_SILVER_ROW = [*cleaned.FLAT_COLUMNS, *cleaned.QUALITY_COLUMNS, "enhanced_fraud_score", "is_cross_border", "transaction_category", "risk_category",
+               "kyc_compliance_level", "silver_processing_timestamp", "processing_date", "event_date"]
+_TIMES = ("transaction_timestamp", "kafka_timestamp", "ingestion_timestamp", "silver_processing_timestamp")
+
+
+def _silver_row_sql() -> str:
+    at, none = "transaction_timestamp", "NULL::VARCHAR"
+    same = {
+        "sender_email": none, "sender_preferred_crypto": none, "receiver_email": none, "receiver_exchange": f"'{fixed.TH_EXCHANGE}'",
+        "crypto_amount": "usd_amount", "exchange_rate_usd_thb": f"{fixed.USD_THB}::DOUBLE", "fee_type": "'maker'",
+        "kafka_topic": f"CASE WHEN original_risk_level IN ('medium','high') THEN '{fixed.TOPIC_SUSPICIOUS}' ELSE '{fixed.TOPIC_NORMAL}' END",
+        "kafka_partition": "0", "kafka_offset": "0", "date_partition": o.day(at), "hour_partition": f"hour({at})",
+        "silver_processing_timestamp": f"'{TX_AS_OF}'", "processing_date": f"'{TX_AS_OF[:10]}'", "event_date": o.day("event_date"),
+    } | {x: f"strftime({at},'%Y-%m-%d %H:%M:%S')" for x in _TIMES[:3]}
+    return o.q(o.SILVER_TX, "SELECT " + ", ".join(f"{same.get(x, x)} AS {x}" for x in _SILVER_ROW) + " FROM silver")
+
+
+add(
+    "silver_rows",
+    lambda spark, sf: silver_tx(spark, sf).select(
+        *[F.date_format(x, "yyyy-MM-dd HH:mm:ss").alias(x) if x in _TIMES else F.col(x).cast("string").alias(x) if x in ("processing_date", "event_date") else x for x in _SILVER_ROW]
+    ),
+    _silver_row_sql(),
+)
 add(
     "date_parts",
     lambda spark, sf: quality.add_partitions(sample.table(spark, sf, "events"), "ts").select(
@@ -314,6 +339,28 @@ ELSE 'ok' END AS outcome, concat_ws(',', CASE WHEN sender_typed IS NULL THEN 'se
 CASE WHEN receiver_typed IS NULL THEN 'receiver.country' END) AS missing_fields FROM tx""",
     ),
 )
+
+
+def _dq_required(spark, sf):
+    """Split by the declared list of required fields; a third of the rows lack their sender."""
+    rows = sample.tx_nested(spark, sf).withColumn("sender", F.when(c("receiver.kyc_level") != 1, c("sender")))
+    ok, rejects = quality.split_required(rows)
+    return (
+        ok.select("transaction_id", F.lit("").alias("missing_fields"))
+        .unionByName(rejects.select("transaction_id", F.array_join("missing_fields", ",").alias("missing_fields")))
+        .groupBy("missing_fields").agg(F.count(F.lit(1)).alias("row_count"), F.min("transaction_id").alias("first_id"))
+    )
+
+
+add(
+    "dq_required",
+    _dq_required,
+    o.q(
+        o.TX,
+        """SELECT CASE WHEN receiver_kyc_level=1 THEN 'sender' ELSE '' END AS missing_fields, count(*) AS row_count,
+min(transaction_id) AS first_id FROM tx GROUP BY 1""",
+    ),
+)
 add(
     "std_country",
     lambda spark, sf: sample.tx(spark, sf, ["sender_typed"])
@@ -1555,6 +1602,15 @@ add(
 WHERE usd_amount>20 AND event_ts>={E_DAY}-INTERVAL 1 HOUR AND event_ts<={E_DAY}""",
     ),
 )
+add(
+    "s8_high_value_default",
+    lambda spark, sf: bi.high_value_alert(tx(*CORE, "event_ts")(spark, sf), moment(TX_AS_OF)),
+    o.q(
+        o.TX,
+        f"""SELECT count(*) AS high_value_transactions, {S} AS total_value_usd FROM tx
+WHERE usd_amount>50000 AND event_ts>=TIMESTAMP '{TX_AS_OF}'-INTERVAL 1 HOUR AND event_ts<=TIMESTAMP '{TX_AS_OF}'""",
+    ),
+)
 _STATS = f"""count(*) AS total_transactions, {S} AS total_volume, {A} AS avg_amount,
 count(DISTINCT sender_country) AS sender_countries, count(DISTINCT receiver_country) AS receiver_countries"""
 _SPLIT = f"is_suspicious, count(*) AS count, {o.ARISK} AS avg_risk_score, {S} AS total_volume"

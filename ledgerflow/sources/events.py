@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,31 +16,47 @@ from ledgerflow.operators.quality import add_partitions
 c = F.col
 
 
+def topic_options(servers: str, topic: str, starting: str = "latest", group: str | None = None) -> dict[str, str]:
+    """Reader options of a live topic."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "false"}
+    return options | ({"kafka.group.id": group} if group else {})
+
+
 def read_topic(
     spark: SparkSession, servers: str, topic: str, starting: str = "latest", group: str | None = None
 ) -> DataFrame:
     """Stream of one topic. Needs the Kafka connector on the class path."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
-    )
-    if group:
-        reader = reader.option("kafka.group.id", group)
-    return reader.load()
-
-
-def read_topic_batch(spark: SparkSession, servers: str, topic: str, limit: int = 10) -> DataFrame:
-    """The first `limit` messages from the beginning, as a batch."""
-    raw = (
-        spark.read.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-        .load()
-    )
+    return spark.readStream.format("kafka").options(**topic_options(servers, topic, starting, group)).load()
+
+
+def bounded_offsets(ends: Mapping[int, tuple[int, int]], limit: int) -> dict[int, tuple[int, int]]:
+    """The offsets (from, up to but not including) of each partition that hold the first `limit` messages by
+    partition and offset; `ends` are the first offset and the one after the last of each partition."""
+    out, left = {}, max(0, limit)
+    for partition in sorted(ends):
+        first, after = ends[partition]
+        take = min(left, max(0, after - first))
+        out[partition] = (first, first + take)
+        left -= take
+    return out
+
+
+def topic_batch_options(servers: str, topic: str, limit: int, ends: Mapping[int, tuple[int, int]] | None = None) -> dict[str, str]:
+    """Reader options of a bounded read. With the partitions' `ends` only the wanted offsets are read."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+    if ends:
+        ranges = bounded_offsets(ends, limit)
+        for name, at in (("startingOffsets", 0), ("endingOffsets", 1)):
+            options[name] = json.dumps({topic: {str(p): r[at] for p, r in ranges.items()}})
+    return options
+
+
+def read_topic_batch(
+    spark: SparkSession, servers: str, topic: str, limit: int = 10, ends: Mapping[int, tuple[int, int]] | None = None
+) -> DataFrame:
+    """The first `limit` messages by partition and offset, as a batch. Without `ends` (see
+    `bounded_offsets`) the topic is read whole, and the limit keeps as many rows of each task."""
+    raw = spark.read.format("kafka").options(**topic_batch_options(servers, topic, limit, ends)).load()
     return raw.orderBy("partition", "offset").limit(limit)
 
 
