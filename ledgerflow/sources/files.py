@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerflow.sources.json_array import read_array
+
 
 def read_layer_stream(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None
@@ -77,8 +79,8 @@ def candle_path(root: str, market: str, symbol: str, day: str | None = None) ->
 def read_json_array(
     spark: SparkSession, path: str, schema: StructType, lines: bool = False
 ) -> DataFrame:
-    """Records of a JSON array file, or of a JSON Lines file, which many tasks can share."""
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    """Records of JSON array files, or of JSON Lines files. Many tasks share one file of either kind."""
+    return spark.read.schema(schema).json(path) if lines else read_array(spark, path, schema)
 
 
 def read_table(
