@@ -11,8 +11,9 @@ id stays NULL; only the id and text columns are read, so other columns may bear
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -20,14 +21,32 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.shared import ship
 from ledgerflow.llm.tokens import prefix_counts
-from ledgerflow.llm.words import slices
+from ledgerflow.llm.words import ragged, runs, slices
 
-SCHEMA = "doc_id long, n_bytes long, n_tokens long, prefix_steps array<smallint>"
+SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 
 
-def count_prefixes(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens and prefix_steps of each row. `tokenizer`: vocabulary file, at the
-    same path on all machines. One pass, no shuffle."""
+def longest_fits(tokens: np.ndarray, steps: np.ndarray, places: np.ndarray, budget: int) -> np.ndarray:
+    """Characters of the longest prefix of each text that has at most `budget` tokens. Counts of longer
+    prefixes can be smaller, so a text's last fitting place is looked for, not its first that is too long."""
+    out = np.diff(places)
+    over = np.flatnonzero(tokens > budget)
+    if len(over):
+        sizes = out[over]  # a text with tokens has characters
+        own = ragged(steps, places[over], sizes)
+        heads = np.cumsum(sizes) - sizes
+        count = np.cumsum(own, dtype=np.int64)
+        count -= np.repeat(count[heads] - own[heads], sizes)
+        out[over] = np.maximum.reduceat(np.where(count <= budget, runs(sizes) + 1, 0), heads)
+    return out
+
+
+def count_prefixes(
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", budgets: Sequence[int] = (), keep_steps: bool = True
+) -> DataFrame:
+    """doc_id, n_bytes, n_tokens and prefix_steps (unless `keep_steps` is off) of each row, and for each of
+    `budgets` a column fits_<budget>: the characters of the longest prefix with so many tokens at most.
+    `tokenizer`: vocabulary file, at the same path on all machines. One pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counts(tokenizer)
@@ -35,14 +54,14 @@ def count_prefixes(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
             texts = batch.column("text")
             tokens, steps, places = counter.count_all(texts)
             n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), n_bytes, pa.array(tokens, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(steps))],
-                ["doc_id", "n_bytes", "n_tokens", "prefix_steps"],
-            )
+            fits = [pa.array(longest_fits(tokens, steps, places, b), pa.int64()) for b in budgets]
+            lists = [pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(steps))] if keep_steps else []
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n_bytes, pa.array(tokens, pa.int64()), *lists, *fits], names)
 
     ship(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    schema = SCHEMA + (", prefix_steps array<smallint>" if keep_steps else "") + "".join(f", fits_{b} long" for b in budgets)
+    names = [x.split()[0] for x in schema.split(", ")]
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def tokens_of_prefix(steps: Column, chars: Column | int) -> Column:

@@ -34,6 +34,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Tokens up to which a text may be asked to be cut.
+BUDGETS = (512, 1024, 2048)
+
 #: Words of an n-gram.
 ORDER = 3
 
@@ -50,8 +53,8 @@ def op1_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = prefix_tokens.count_prefixes(documents(spark, sf_dir), TOKENIZER)
-    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > SEQUENCE).alias("over_limit"))
+    counts = prefix_tokens.count_prefixes(documents(spark, sf_dir), TOKENIZER, budgets=BUDGETS, keep_steps=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > SEQUENCE)
 
 
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:

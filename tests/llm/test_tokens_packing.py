@@ -60,6 +60,21 @@ def test_documents(odd_docs):
     assert sorted(map(tuple, rows), key=repr) == sorted(want, key=repr)
 
 
+def test_longest_prefixes_within_budgets(odd_docs):
+    """Against the library: every prefix encoded anew."""
+    library = tokens.tokenizer(PATH)
+    rows = odd_docs.select("doc_id", "text").collect()
+    short = {r["doc_id"]: r["text"] or "" for r in rows if r["doc_id"] not in (None, 5) and len(r["text"] or "") < 400}
+    docs = odd_docs.where(F.col("doc_id").isin(list(short)))
+    found = prefix_tokens.count_prefixes(docs, PATH, budgets=(0, 1, 3, 7, 2048), keep_steps=False)
+    assert found.columns == ["doc_id", "n_bytes", "n_tokens", "fits_0", "fits_1", "fits_3", "fits_7", "fits_2048"]
+    for r in found.collect():
+        text = short[r["doc_id"]]
+        counts = [len(x.ids) for x in library.encode_batch([text[:k] for k in range(len(text) + 1)], add_special_tokens=False)]
+        for b in (0, 1, 3, 7, 2048):
+            assert r[f"fits_{b}"] == max(k for k, n in enumerate(counts) if n <= b), (text, b)
+
+
 def test_questions_about_prefixes(odd_docs):
     steps = F.col("prefix_steps")
     out = prefix_tokens.count_prefixes(odd_docs.where("doc_id in (0, 4, 12)"), PATH)
