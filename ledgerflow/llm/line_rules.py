@@ -39,8 +39,10 @@ LEAST_WORDS = 50
 LEAST_SHARE = 0.4
 #: A line is removed if more documents of its host than this hold it ...
 MOST_DOCS = 20
-#: ... and more than this share of the host's documents.
+#: ... and more than this share of the host's documents, or ...
 MOST_SHARE = 0.01
+#: ... more than this, however many documents the host has: a large host does not shield its footers.
+MANY_DOCS = 10_000
 #: Lines of fewer words are left alone: they meet by chance.
 LINE_WORDS = 3
 
@@ -182,10 +184,10 @@ def _by_key(rows: Iterator[pa.RecordBatch], columns: list[str], merge) -> Iterat
 
 def frequent_lines(
     docs: DataFrame, most_docs: int = MOST_DOCS, most_share: float = MOST_SHARE, line_words: int = LINE_WORDS,
-    buckets: int | None = None, text_col: str = "text", host_col: str = "source",
+    buckets: int | None = None, text_col: str = "text", host_col: str = "source", many_docs: int = MANY_DOCS,
 ) -> Frequent:
     """Lines that more than `most_docs` distinct documents and more than `most_share` of the distinct
-    documents of one host hold."""
+    documents of one host hold, or more than `many_docs` whatever the host's size."""
     ship(docs.sparkSession)
     buckets = buckets or bucket_count(docs.sparkSession)
     bits = buckets.bit_length() - 1
@@ -253,7 +255,7 @@ def frequent_lines(
     counted = stored(sent.mapInArrow(lambda batches: _by_key(batches, names, count), "key long, host long, digest long, n long, whole boolean"), "line-counts")
     # A document is counted in one bucket, so a host's counts add up.
     hosts = counted.where("whole").groupBy("host").agg(F.sum("n").alias("docs"))
-    above = counted.where("not whole").join(hosts, "host").where(F.col("n") > most_share * F.col("docs"))
+    above = counted.where("not whole").join(hosts, "host").where(F.col("n") > F.least(most_share * F.col("docs"), F.lit(float(many_docs))))
     above = above.select(F.shiftrightunsigned("key", 64 - bits).cast("int").alias("bucket"), "key", "digest")
     written = above.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(write, "bucket int")
     return Frequent(folder, frozenset(r["bucket"] for r in written.collect()), bits)  # one row a file

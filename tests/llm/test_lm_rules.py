@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from ledgerflow.llm import line_rules, ngram_lm, queries
 from ledgerflow.llm.hash_files import bucket_of
@@ -184,6 +185,41 @@ def test_line_rules(pages):
     assert not by_id[500]["kept"] and not by_id[501]["kept"] and by_id[502]["base_failed"]
 
 
+def brute_verdicts(rows, most_docs, most_share, many_docs):
+    """doc_id, removed lines, words left, kept of each row, from sets of whole texts and lines."""
+    lines = lambda t: [x for x in (tuple(w.translate(LOW_TABLE) for w in WORD.findall(line)) for line in t.split("\n")) if x]
+    hosts, holders = defaultdict(set), defaultdict(set)
+    for r in rows:
+        text = r["text"] or ""
+        hosts[r["source"]].add(text)
+        for line in lines(text):
+            holders[r["source"], line].add(text)
+    digest = lambda t: xxhash.xxh3_64_intdigest(t.encode())
+    stays = {
+        k: min(v, key=digest) for k, v in holders.items()
+        if len(k[1]) >= line_rules.LINE_WORDS and len(v) > most_docs and len(v) > min(most_share * len(hosts[k[0]]), many_docs)
+    }
+    out = Counter()
+    for r in rows:
+        text = r["text"] or ""
+        n, _, _, _, repeated = base_counts(r["text"])
+        gone = [x for x in lines(text) if stays.get((r["source"], x), text) != text]
+        left = n - sum(map(len, gone))
+        failed = n < 50 or 100 * repeated > 50 * n
+        out[r["doc_id"], len(gone), left, not failed and not (gone and (left < 50 or left < line_rules.LEAST_SHARE * n))] += 1
+    return out
+
+
+LOW_TABLE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.mark.parametrize(("most_docs", "most_share", "many_docs"), [(20, 0.3, 10_000), (5, 0.9, 10_000), (5, 0.9, 25), (3, 0.0, 10_000), (20, 0.01, 1)])
+def test_verdicts_equal_brute_force(pages, most_docs, most_share, many_docs):
+    found = line_rules.assess(pages, line_rules.frequent_lines(pages, most_docs, most_share, many_docs=many_docs))
+    got = Counter(tuple(r) for r in found.select("doc_id", "n_removed_lines", "words_left", "kept").collect())
+    assert got == brute_verdicts(pages.collect(), most_docs, most_share, many_docs)
+
+
 def test_kept_rows_lose_the_lines(pages):
     frequent = line_rules.frequent_lines(pages, most_docs=20, most_share=0.3)
     verdict = {r["doc_id"]: r for r in line_rules.assess(pages, frequent).collect()}
