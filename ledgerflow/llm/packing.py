@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.shared import ship, stored
-from ledgerflow.llm.tokens import token_ids
+from ledgerflow.llm.tokens import ENCODED, token_ids
 from ledgerflow.llm.words import slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, part int, local long"
@@ -96,10 +96,6 @@ def plan(histogram: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 4)
 
 
-#: Bytes of text that are encoded at a time.
-ENCODED = 2 << 20
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's token ids and the end id, cut into pieces of at most `capacity`; `part` and
     `local` number the pieces of each length within their task."""

@@ -10,6 +10,7 @@ A text that holds the string of a special token is cut at white space only.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
@@ -21,6 +22,11 @@ from tokenizers import Tokenizer
 from ledgerflow.llm.shared import kept
 from ledgerflow.llm.words import LOWER, Words, buffers, ragged, runs, split
 
+# A task has one core; the library's own threads would each keep memory of theirs.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+#: Bytes of text that are encoded at a time.
+ENCODED = 2 << 20
 #: Pieces that a worker remembers before it starts anew.
 REMEMBERED = 200_000
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.shared import drop_files, file_size, put_file, read_range, shared_folder, ship
-from ledgerflow.llm.tokens import token_ids, tokenizer as open_tokenizer
+from ledgerflow.llm.tokens import ENCODED, token_ids, tokenizer as open_tokenizer
 from ledgerflow.llm.words import runs, slices, spread
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -129,7 +129,7 @@ def sequences(docs: DataFrame, tokenizer: str, length: int, end_id: int, width:
                  pa.array(list(map(zlib.crc32, cuts)), pa.int64()), pa.array(cuts, pa.binary()), docs_of, starts_of], names
             )
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED):
             found, places = encoder.encode(batch.column("text"))
             sizes = np.diff(places) + 1
             ends = np.cumsum(sizes)

@@ -50,7 +50,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE) -> I
         for a, b in zip(edges, edges[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
-    give_back()
+        give_back()
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
