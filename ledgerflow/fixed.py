@@ -114,3 +114,21 @@ PRICE_BOARD_SYMBOLS = ("BTC", "ETH", "BNB", "ADA", "DOT", "MATIC", "LINK", "UNI"
 
 # --- fixed values: velocity scenarios -------------------------------------
 ROUND_AMOUNTS = (10000, 25000, 50000, 100000)
+
+# Scores and labels of alerts, by the first bound that is exceeded.
+ALERT_SCORES = (("aml", 0.9, 1.0), ("usd", 100000, 0.9), ("usd", 50000, 0.7), ("aml", 0.7, 0.6))
+ALERT_SCORE_ELSE = 0.1
+ALERT_FROM = 0.8
+ALERT_TYPES = (("usd", 100000, "high_amount"), ("aml", 0.9, "high_aml_score"))
+LOW_KYC_TYPE, OTHER_TYPE = "low_kyc", "general_suspicious"
+
+# Points of the 0 to 100 score.
+ACCOUNT_POINTS = {"suspicious": 40, "whale": 10}
+AMOUNT_POINTS = (("usd", 100000, 30), ("usd", 50000, 20), ("usd", 30000, 15))
+KYC_POINTS = {1: 20, 2: 10}
+COUNTRY_POINTS, FLAG_POINTS, SUSPICIOUS_POINTS = 25, 30, 70
+
+# Bounds of the named rules.
+RULE_HIGH_AMOUNT, RULE_HIGH_AML = 30000, 0.7
+RULE_COUNTRIES, RULE_COUNTRY_AMOUNT = ("RU", "CN"), 10000
+RULE_KYC_AMOUNT, RULE_STABLECOIN_AMOUNT = 5000, 50000

@@ -73,28 +73,34 @@ def risk_bucket(score: Column) -> Column:
 
 
 # --- alert ladder ------------------------------------------------------------
+def _above(inputs: dict[str, Column], steps: tuple) -> Column:
+    """The outcome of the first step whose input exceeds its bound."""
+    out = None
+    for name, bound, outcome in steps:
+        hit = inputs[name] > bound
+        out = F.when(hit, outcome) if out is None else out.when(hit, outcome)
+    return out
+
+
 def alert_score(aml: Column, usd: Column) -> Column:
-    return (
-        F.when(aml > 0.9, 1.0)
-        .when(usd > 100000, 0.9)
-        .when(usd > 50000, 0.7)
-        .when(aml > 0.7, 0.6)
-        .otherwise(0.1)
-    )
+    return _above({"aml": aml, "usd": usd}, fixed.ALERT_SCORES).otherwise(fixed.ALERT_SCORE_ELSE)
 
 
 def is_alert(flags: Column, score: Column) -> Column:
     """NULL when the flags are NULL and the score alone does not decide."""
-    return F.array_contains(flags, "high_amount") | (score > 0.8)
+    return F.array_contains(flags, "high_amount") | (score > fixed.ALERT_FROM)
 
 
 def alert_type(aml: Column, usd: Column, sender_kyc: Column) -> Column:
-    return (
-        F.when(usd > 100000, "high_amount")
-        .when(aml > 0.9, "high_aml_score")
-        .when(sender_kyc == 1, "low_kyc")
-        .otherwise("general_suspicious")
-    )
+    first = _above({"aml": aml, "usd": usd}, fixed.ALERT_TYPES)
+    return first.when(sender_kyc == 1, fixed.LOW_KYC_TYPE).otherwise(fixed.OTHER_TYPE)
+
+
+def _one_of(c: Column, outcomes: dict) -> Column:
+    out = None
+    for value, outcome in outcomes.items():
+        out = F.when(c == value, outcome) if out is None else out.when(c == value, outcome)
+    return out
 
 
 # --- score between 0 and 100 -------------------------------------------------
@@ -107,18 +113,18 @@ def points_risk_score(
     risky_countries: tuple[str, ...] = fixed.HIGH_RISK_COUNTRIES,
 ) -> Column:
     points = [
-        F.when(account_type == "suspicious", 40).when(account_type == "whale", 10),
-        F.when(usd > 100000, 30).when(usd > 50000, 20).when(usd > 30000, 15),
-        F.when(kyc == 1, 20).when(kyc == 2, 10),
-        F.when(country.isin(*risky_countries), 25),
-        F.when(flagged, 30),
+        _one_of(account_type, fixed.ACCOUNT_POINTS),
+        _above({"usd": usd}, fixed.AMOUNT_POINTS),
+        _one_of(kyc, fixed.KYC_POINTS),
+        F.when(country.isin(*risky_countries), fixed.COUNTRY_POINTS),
+        F.when(flagged, fixed.FLAG_POINTS),
     ]
     total = sum((p.otherwise(0) for p in points), F.lit(0))
     return F.greatest(F.lit(0), F.least(F.lit(100), total))
 
 
 def points_suspicious(flagged: Column, points: Column) -> Column:
-    return F.coalesce(flagged, F.lit(False)) | (points > 70)
+    return F.coalesce(flagged, F.lit(False)) | (points > fixed.SUSPICIOUS_POINTS)
 
 
 # --- named rules -------------------------------------------------------------
@@ -135,11 +141,11 @@ class RuleInputs:
 
 def named_rules(x: RuleInputs) -> dict[str, Column]:
     return {
-        "high_amount": x.usd > 30000,
-        "high_aml": x.aml > 0.7,
-        "risky_country": x.country.isin("RU", "CN") & (x.usd > 10000),
-        "low_kyc_amount": (x.kyc == 1) & (x.usd > 5000),
-        "stablecoin_large": x.symbol.isin(*fixed.STABLECOINS) & (x.usd > 50000),
+        "high_amount": x.usd > fixed.RULE_HIGH_AMOUNT,
+        "high_aml": x.aml > fixed.RULE_HIGH_AML,
+        "risky_country": x.country.isin(*fixed.RULE_COUNTRIES) & (x.usd > fixed.RULE_COUNTRY_AMOUNT),
+        "low_kyc_amount": (x.kyc == 1) & (x.usd > fixed.RULE_KYC_AMOUNT),
+        "stablecoin_large": x.symbol.isin(*fixed.STABLECOINS) & (x.usd > fixed.RULE_STABLECOIN_AMOUNT),
     }
 
 

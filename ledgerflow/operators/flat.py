@@ -55,6 +55,7 @@ def _text(path: str, default: str) -> Column:
     return F.coalesce(c(path), F.lit(default))
 
 
+# The names and stand-in values of the columns below are fixed values: other jobs read these rows.
 def to_flat_transaction(events: DataFrame, topic: Column, arrived: Column) -> DataFrame:
     """13-column row of an event; an unreadable time falls back to the arrival time."""
     risk = _text("compliance.risk_level", "low")
