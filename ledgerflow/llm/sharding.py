@@ -87,9 +87,23 @@ def interleave(
     )
 
 
-def write_shards(docs: DataFrame, places: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write the rows of `docs` to one folder per shard, in slot order. Ids must be distinct."""
-    where = places.select(F.col("doc_id").alias(id_col), "shard", "slot")
+def write_shards(
+    docs: DataFrame, places: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> None:
+    """Write every row of `docs`, with all its columns, to one folder per shard, in slot order. Rows that
+    are equal in id, source and text are dealt to their places in any order. Columns of the documents
+    that are named `shard` or `slot` are written as `shard_` and `slot_`."""
+    used = ["doc_id", "source", "size", "text_crc32"]
+    text = F.col(f"`{text_col}`")
+    values = [F.col(f"`{id_col}`").cast("long"), F.col(f"`{source_col}`"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16, F.crc32(text)]
+    own = docs.columns
+    row = F.struct(*[F.col(f"`{x}`") for x in own]).alias("row")
+    number = Window.partitionBy(*[f"k_{x}" for x in used])
+    rows = docs.select(row, *[v.alias(f"k_{x}") for x, v in zip(used, values, strict=True)])
+    rows = rows.withColumn("k_number", F.row_number().over(number.orderBy(F.xxhash64("row"))))
+    where = places.select(*[F.col(x).alias(f"k_{x}") for x in used], "shard", "slot").withColumn("k_number", F.row_number().over(number.orderBy("shard", "slot")))
+    same = [F.col(f"r.k_{x}").eqNullSafe(F.col(f"w.k_{x}")) for x in (*used, "number")]
     shards = where.select("shard").distinct().count()
-    dealt = docs.drop("shard", "slot").join(where, id_col).repartitionByRange(max(1, shards), "shard", "slot")
-    dealt.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    renamed = [F.col(f"row.`{x}`").alias(f"{x}_" if x in ("shard", "slot") else x) for x in own]
+    dealt = rows.alias("r").join(where.alias("w"), same).select(*renamed, "shard", "slot")
+    dealt.repartitionByRange(max(1, shards), "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
