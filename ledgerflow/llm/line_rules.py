@@ -46,6 +46,9 @@ MANY_DOCS = 10_000
 #: Lines of fewer words are left alone: they meet by chance.
 LINE_WORDS = 3
 
+#: Bytes of text that are judged at a time: the counts of a slice take some forty times its bytes.
+JUDGED = 2 << 20
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -311,7 +314,7 @@ def assess(
     names = [x.split()[0] for x in ASSESSED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", JUDGED):
             v = _judge(batch.column("text"), batch.column("host"), frequent, line_words, False)
             columns = [*v.counts.values(), v.removed, v.left, v.failed, v.kept]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns)], names)
@@ -330,7 +333,7 @@ def keep_good(docs: DataFrame, frequent: Frequent, line_words: int = LINE_WORDS,
     plain = plain.withColumns({f"c{t}": F.col(f"c{t}").cast("string"), f"c{h}": F.col(f"c{h}").cast("string")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, f"c{t}"):
+        for batch in slices(batches, f"c{t}", JUDGED):
             v = _judge(batch.column(t), batch.column(h), frequent, line_words, True)
             columns = list(batch.columns)
             columns[t] = pa.array(v.texts, pa.binary()).cast(pa.string())
