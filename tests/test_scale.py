@@ -7,6 +7,7 @@ import pytest
 
 from ledgerflow.operators import gold
 from ledgerflow.plans import catalog
+from ledgerflow.sources import sample
 
 SILVER = (
     "event_date string, sender_country string, receiver_country string, crypto_currency string, transaction_id string, usd_amount double, "
@@ -53,6 +54,19 @@ def test_cleaning_is_compiled(spark, tables, name):
     assert sizes and max(sizes) < 8000
 
 
+def test_no_nation_is_no_country(spark, tables, tmp_path):
+    """Of several customers, in one file, one has no nation."""
+    rows = [(k, None if k == 2 else 24, "BUILDING") for k in (1, 2, 3)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_mktsegment string").coalesce(1).write.mode("overwrite").parquet(f"{tables}/customer.parquet")
+    spark.createDataFrame([(k, k, "O") for k in (1, 2, 3)], "o_orderkey long, o_custkey long, o_orderstatus string").write.mode("overwrite").parquet(f"{tables}/orders.parquet")
+    one = spark.read.parquet(f"{tables}/lineitem.parquet").drop("l_orderkey")
+    line = spark.range(1, 4, 1, 1).withColumnRenamed("id", "l_orderkey").crossJoin(one)
+    line.write.parquet(f"{tmp_path}/more")
+    spark.read.parquet(f"{tmp_path}/more").write.mode("overwrite").parquet(f"{tables}/lineitem.parquet")
+    found = sample.tx(spark, tables, ["sender_user_id", "sender_typed", "account_type"]).collect()
+    assert sorted(found) == [("U_1", "VE", "suspicious"), ("U_2", None, "suspicious"), ("U_3", "VE", "suspicious")]
+
+
 def test_daily_summary_sends_a_row_once(spark):
     day = ("2024-01-01", "TH", None, "BTC")
     rows = [
