@@ -155,12 +155,34 @@ class Frequent:
     files: frozenset[int]
     bits: int
 
-    def holds(self, hashes: np.ndarray, where: np.ndarray) -> np.ndarray:
-        """Whether each n-gram is frequent; False outside `where`."""
-        out = np.zeros(len(hashes), bool)
-        keys, place = np.unique(hashes[where], return_inverse=True)
-        out[where] = look_up(self.folder, self.files, self.bits, keys, np.int64)[1][place]
-        return out
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether each of some distinct n-grams is frequent."""
+        return look_up(self.folder, self.files, self.bits, hashes, np.int64)[1]
+
+
+def _known_levels(g: _Grams, levels: list[Frequent]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per length: a number for the n-gram from each place, equal for equal n-grams, and whether it is
+    frequent. Only n-grams of frequent parts are looked at, each distinct one once; beyond the last of
+    `levels`, all of these count as frequent. The numbers hold where the n-gram is frequent."""
+    hashes, names, codes = g.hash, g.code.copy(), int(g.code.max(initial=0)) + 1
+    known = np.zeros(0, bool)
+    for n in range(1, len(levels) + 2):
+        whole = g.left >= n
+        if n == 1:
+            one = np.full(codes, -1, np.int64)
+            one[g.code] = np.arange(len(g.code))
+            there = np.flatnonzero(one >= 0)
+            frequent = np.zeros(codes, bool)
+            frequent[there] = levels[0].has(hashes[one[there]])
+            known = frequent[g.code]
+        else:
+            hashes = g.longer(hashes, n)
+            at = np.flatnonzero(whole & known & np.append(known[1:], False))
+            _, one, place = np.unique(names[at] * codes + g.code[at + n - 1], return_index=True, return_inverse=True)
+            names[at] = place
+            known = np.zeros(len(known), bool)
+            known[at] = levels[n - 1].has(hashes[at[one]])[place] if n <= len(levels) else True
+        yield n, names, known
 
 
 def _add(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +206,7 @@ def _sent(keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     )
 
 
-def _frequent(chunks: DataFrame, n: int, below: Frequent | None, least: int, buckets: int) -> Frequent:
+def _frequent(chunks: DataFrame, n: int, levels: list[Frequent], least: int, buckets: int) -> Frequent:
     """Count the n-grams of the dictionary whose parts are frequent, and keep the frequent ones."""
     bits = buckets.bit_length() - 1
     folder = shared_folder(chunks.sparkSession, f"frequent-{n}")
@@ -194,12 +216,11 @@ def _frequent(chunks: DataFrame, n: int, below: Frequent | None, least: int, buc
         for batch in slices(batches, "chunk"):
             g = _grams_of(batch)
             hashes, at = g.hash, g.own & (g.left >= n)
-            for size in range(2, n):
+            for size in range(2, n + 1):
                 hashes = g.longer(hashes, size)
-            if below:
-                known = below.holds(hashes, g.left >= n - 1)
-                at &= known & np.append(known[1:], False)
-                hashes = g.longer(hashes, n)
+            if levels:  # the n-grams of frequent parts
+                *_, (_, _, known) = _known_levels(g, levels)
+                at &= known
             parts.append(_add([(hashes[at], g.freq[g.chunk[at]])]))
             held += len(parts[-1][0])
             if held > HELD:
@@ -245,23 +266,18 @@ def _phrase_counts(chunks: DataFrame, levels: list[Frequent], least: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "chunk"):
             g = _grams_of(batch)
-            hashes, known = g.hash, np.zeros(0, bool)
-            # Hashes say what is frequent; equal n-grams are found by the codes of their words.
-            names, codes = g.code.copy(), int(g.code.max(initial=0)) + 1
-            for n in range(1, ORDER + 1):
-                if n > 1:
-                    hashes = g.longer(hashes, n)
-                whole = g.left >= n
-                known = levels[n - 1].holds(hashes, whole) if n <= len(levels) else whole & known & np.append(known[1:], False)
-                if n > 1:
-                    some = np.flatnonzero(known)
-                    names[some] = np.unique(names[some] * codes + g.code[some + n - 1], return_inverse=True)[1]
+            for n, names, known in _known_levels(g, levels):
                 at = np.flatnonzero(g.own & known)
                 if not len(at):
                     continue
-                _, one, place = np.unique(names[at], return_index=True, return_inverse=True)
-                f = sums(g.freq[g.chunk[at]][by := np.argsort(place, kind="stable")], np.searchsorted(place[by], np.arange(len(one))))
-                one = at[one]
+                # The names are the places of the distinct n-grams in a row: added up without another sort.
+                held = names[at]
+                f = np.zeros(int(held.max()) + 1, np.int64)
+                np.add.at(f, held, g.freq[g.chunk[at]])
+                one = np.zeros(len(f), np.int64)
+                one[held] = at
+                some = np.flatnonzero(f)
+                f, one = f[some], one[some]
                 sizes = g.stop[one + n - 1] - g.start[one]
                 phrases = _texts(np.append(0, np.cumsum(sizes)), ragged(g.data, g.start[one], sizes))
                 yield pa.RecordBatch.from_arrays(
@@ -321,7 +337,7 @@ def mine(docs: DataFrame, least: int = 30, top: int = 2000, cover: int = 80, tex
     chunks = stored(parse(docs, text_col, lang_col), "chunks")
     levels: list[Frequent] = []
     for n in range(1, ORDER):
-        levels.append(_frequent(chunks, n, levels[-1] if levels else None, least, bucket_count(spark)))
+        levels.append(_frequent(chunks, n, levels, least, bucket_count(spark)))
     counts = stored(_phrase_counts(chunks, levels, least), "phrases")
     words = chunks.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n"))
     around = F.col("most").isNotNull() & (F.col("most") * 100 >= F.col("a") * cover)
