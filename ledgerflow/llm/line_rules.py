@@ -46,7 +46,7 @@ MANY_DOCS = 10_000
 #: Lines of fewer words are left alone: they meet by chance.
 LINE_WORDS = 3
 
-#: Bytes of text that are judged at a time: the counts of a slice take some forty times its bytes.
+#: Bytes of text that are judged at a time: counts are held for every byte and word of a slice.
 JUDGED = 2 << 20
 
 _SYMBOL = np.zeros(256, bool)
