@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.hash_files import by_bucket, look_up, put_arrays, sums
 from ledgerflow.llm.shared import bucket_count, shared_folder, ship, stored
-from ledgerflow.llm.words import LOWER, buffers, ragged, runs, slices, split, spread
+from ledgerflow.llm.words import LOWER, buffers, gathered, ragged, runs, slices, split, spread
 
 #: Words of the longest phrase.
 ORDER = 4
@@ -39,6 +39,8 @@ ORDER = 4
 TRIGGER = 16
 #: Distinct n-grams that a task holds to add them up before it sends them.
 HELD = 2_000_000
+#: Bytes of chunks that are counted at a time: chunks are short, so a batch of rows holds few of them.
+GATHERED = 4 << 20
 #: Parts in which a language's best rows are sought before they meet.
 SALTS = 64
 
@@ -191,7 +193,7 @@ def _frequent(chunks: DataFrame, n: int, below: Frequent | None, least: int, buc
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for batch in slices(batches, "chunk"):
+        for batch in slices(gathered(batches, "chunk", GATHERED), "chunk"):
             g = _grams_of(batch)
             hashes, at = g.hash, g.own & (g.left >= n)
             for size in range(2, n):
@@ -243,7 +245,7 @@ def _phrase_counts(chunks: DataFrame, levels: list[Frequent], least: int) -> Dat
     """lang, size, phrase, f of every n-gram that occurs `least` times, counted by its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "chunk"):
+        for batch in slices(gathered(batches, "chunk", GATHERED), "chunk"):
             g = _grams_of(batch)
             hashes, known = g.hash, np.zeros(0, bool)
             # Hashes say what is frequent; equal n-grams are found by the codes of their words.

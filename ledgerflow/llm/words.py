@@ -53,6 +53,21 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE) -> I
         give_back()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, in batches that hold `most` bytes of text or more (the last one may hold fewer):
+    what is done once a batch, and once for each distinct word of it, is done less often."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
+        if size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts in a row, and the place where each begins (one more at the end). A NULL
     text has no bytes."""

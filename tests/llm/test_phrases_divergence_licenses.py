@@ -3,10 +3,12 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from ledgerflow.llm import divergence, licenses, phrases
 from ledgerflow.llm.license_rules import RULES, WINDOW
+from ledgerflow.llm.words import gathered
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -63,6 +65,29 @@ def test_chunks_overlap_and_depend_on_content(spark):
     assert all(len(r["chunk"].split()) <= r["own"] + phrases.ORDER - 1 for r in rows)
 
 
+def test_chunks_are_counted_many_at_a_time(spark, monkeypatch):
+    """Small batches of chunks are brought together before they are counted; no row is lost."""
+    sizes, grams = [], phrases._grams_of
+    rows = [("x" * (k % 7), k) for k in range(50)] + [(None, 50), ("", 51)]
+    batches = [pa.RecordBatch.from_pylist([{"text": t, "k": k} for t, k in rows[i : i + 3]], pa.schema([("text", pa.string()), ("k", pa.int64())])) for i in range(0, len(rows), 3)]
+    out = list(gathered(iter([*batches, batches[0].slice(0, 0)]), "text", 40))
+    assert [(r["text"], r["k"]) for b in out for r in b.to_pylist()] == rows and list(gathered(iter([]), "text", 40)) == []
+    assert len(out) < len(batches) / 3 and all(sum(len(t or "") for t in b.column("text").to_pylist()) >= 40 for b in out[:-1])
+
+    class Chunks:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            many = [pa.RecordBatch.from_pydict({"lang": ["en"] * 2, "own": pa.array([1, 1], pa.int32()), "chunk": ["a b c ", "b c d "], "freq": pa.array([1, 1])})] * 20
+            sizes.extend(b.num_rows for b in run(iter(many)))
+            raise StopIteration
+
+    calls = []
+    monkeypatch.setattr(phrases, "_grams_of", lambda batch: calls.append(batch.num_rows) or grams(batch))
+    monkeypatch.setattr(phrases.Frequent, "holds", lambda self, hashes, where: where)
+    with pytest.raises(StopIteration):
+        phrases._phrase_counts(Chunks(), [phrases.Frequent("", frozenset(), 1)] * 3, 1)
+    assert calls == [40] and sizes
+
+
 def test_phrases_of_no_rows(spark):
     assert phrases.mine(spark.createDataFrame([], "text string, lang string")).collect() == []
 
