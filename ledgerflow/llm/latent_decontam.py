@@ -177,16 +177,11 @@ def _products(entries: DataFrame, key: str, other: str, vectors: DataFrame, side
 
     schema = f"{key} long, v binary, weight double"
     partial = entries.join(vectors.select(other, "v"), other).select(key, "weight", "v").mapInArrow(add, schema)
-    # Partial sums of one key are few: at most one for each task and 4096 keys.
-    return partial.repartition(key).sortWithinPartitions(key).mapInArrow(add, schema).select(key, "v")
-
-
-def _finished(products: DataFrame, key: str, side: int) -> DataFrame:
-    """One row per key: a batch boundary may have left a key in two."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per key: a batch boundary may have left a key in two."""
         held, total = None, None
-        for batch in batches:
+        for batch in add(batches):
             for k, row in zip(batch.column(key).to_pylist(), _rows_of(batch.column("v"), side), strict=True):
                 if held is not None and k != held:
                     yield one(held, total)
@@ -198,7 +193,8 @@ def _finished(products: DataFrame, key: str, side: int) -> DataFrame:
     def one(k: int, v: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([v.tobytes()], pa.binary())], [key, "v"])
 
-    return products.mapInArrow(run, f"{key} long, v binary")
+    # Partial sums of one key are few: at most one for each task and 4096 keys.
+    return partial.repartition(key).sortWithinPartitions(key).mapInArrow(finished, f"{key} long, v binary")
 
 
 def _turned(vectors: DataFrame, key: str, side: int, by: np.ndarray) -> DataFrame:
@@ -226,12 +222,14 @@ def randomised_svd(entries: DataFrame, rank: int = RANK, spare: int = SPARE, rou
         return rows.T @ rows
 
     def times(key: str, other: str, vectors: DataFrame) -> DataFrame:
-        return stored(_finished(_products(entries, key, other, vectors, side), key, side), "svd")
+        return stored(_products(entries, key, other, vectors, side), "svd")
 
-    right = entries.select("col").distinct().mapInArrow(start, "col long, v binary")
+    # Vectors are stored before they are joined: a stage with several steps in Python holds a worker for
+    # each in every task, and workers keep their memory into the stages behind.
+    right = stored(entries.select("col").distinct().mapInArrow(start, "col long, v binary"), "svd")
     for _ in range(rounds + 1):
         left = times("row", "col", right)
-        q = _turned(left, "row", side, _root(_matrix_sum(left, gram, side)))
+        q = stored(_turned(left, "row", side, _root(_matrix_sum(left, gram, side))), "svd")
         right = times("col", "row", q)  # A' Q: the rows of B'
     values, vectors = np.linalg.eigh(_matrix_sum(right, gram, side))
     order = np.argsort(values)[::-1][:rank]

@@ -271,6 +271,35 @@ def test_randomised_svd_spans_what_numpy_finds(spark):
     assert np.linalg.norm(own @ (own.T @ vt[:5].T) - vt[:5].T) < 1e-5
 
 
+def python_steps(plan):
+    """The most steps in Python that one task of a physical plan runs: those between two exchanges."""
+    most, path = 0, []
+    for line in plan.splitlines():
+        name = re.search(r"[A-Za-z]", line)
+        if not name:
+            continue
+        depth, text = name.start(), line[name.start() :]
+        path = [x for x in path if x[0] < depth]
+        n = 0 if "Exchange" in text.split(" ")[0] else (path[-1][1] if path else 0) + text.startswith("MapInArrow")
+        path.append((depth, n))
+        most = max(most, n)
+    return most
+
+
+def test_vectors_take_one_worker_a_task(spark, monkeypatch):
+    """Several steps in Python in one stage hold as many workers in every task, whose memory stays."""
+    plans, store = [], latent_decontam.stored
+
+    def seen(df, *args, **named):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, *args, **named)
+
+    monkeypatch.setattr(latent_decontam, "stored", seen)
+    entries = spark.createDataFrame([(r, c, 1.0 + r * c) for r in range(4) for c in range(5)], "row long, col long, weight double")
+    vectors, _ = latent_decontam.randomised_svd(entries, rank=2, spare=2)
+    assert vectors.count() == 5 and max(map(python_steps, plans)) == 1
+
+
 def test_no_benchmark_and_no_documents(leaks):
     _, _, bench, docs = leaks
     for d, b in ((docs, bench.where("item_id < 0")), (docs.where("doc_id < 0"), bench), (docs, bench.where("item_id in (51, 52)"))):
