@@ -39,7 +39,7 @@ def put_arrays(uri: str, *arrays: np.ndarray) -> None:
 
 @kept(8192)
 def get_arrays(uri: str, *kinds: type) -> list[np.ndarray]:
-    raw = mapped_file(uri)
+    raw = np.asarray(mapped_file(uri))  # plain arrays, which are quicker to index
     n = int(raw[:8].view(np.int64)[0])
     sizes, at, out = raw[8 : 8 + 8 * n].view(np.int64).tolist(), 8 + 8 * n, []
     for size, kind in zip(sizes, kinds, strict=True):

@@ -117,6 +117,45 @@ def test_slices_of_a_task_are_added_up(sample, order):
         assert total == 5 * sum(np.frombuffer(r[6], np.uint32).sum() for r in once[0])
 
 
+def test_mixing_is_one_to_one():
+    for width in (8, 13, 38, 62):
+        some = np.unique(np.random.default_rng(1).integers(0, 1 << width, 3000, dtype=np.uint64))
+        out = ngram_lm.mixed(some, width)
+        assert len(np.unique(out)) == len(some) and int(out.max()) < 1 << width
+        assert (ngram_lm.unmixed(out, width) == some).all()
+
+
+@pytest.mark.parametrize(("level", "width", "bits"), [(2, 9, 2), (3, 16, 1), (3, 31, 2)])
+def test_files_of_ngrams_hold_them_in_few_bytes(tmp_path, level, width, bits):
+    """Every n-gram, and no other, is found; less than 8 bytes are sent for one."""
+    rng = np.random.default_rng(2)
+    whole = (level - 1) * width
+    context = ngram_lm.mixed(rng.integers(0, 1 << min(whole, 14), 30_000, dtype=np.uint64), whole)
+    context = context[context >> np.uint64(whole - bits) == 1]
+    word = rng.integers(2, 1 << min(width, 10), len(context), dtype=np.uint64)
+    grams = ngram_lm._added(context, word, None, level, width)
+    pairs, places = np.unique(np.stack([context, word]), axis=1, return_counts=True)
+    assert (np.stack(grams[:2]) == pairs).all() and (grams[2] == places).all()
+    (row,) = ngram_lm._send_grams(level, grams, bits, width)
+    sent = ngram_lm._batch([row]).to_pylist()
+    assert sum(len(x) for x in sent[0].values() if isinstance(x, bytes)) < 8 * len(places)
+    stats = ngram_lm._merge(sent * 2, level, 1, str(tmp_path), bits, width)
+    assert stats[:2] == [len(places), 2 * places.sum()]
+    held = ngram_lm.Grams(ngram_lm.get_arrays(f"{tmp_path}/{level}/000001", *ngram_lm.GRAMS))
+    open_bits = np.uint64((1 << whole - bits) - 1)
+    key, own = held.whole(whole - bits)
+    assert sorted(zip(key.tolist(), own.tolist(), strict=True)) == sorted(zip((pairs[0] & open_bits).tolist(), pairs[1].tolist(), strict=True))
+    vocabulary = ngram_lm.Vocabulary(str(tmp_path), frozenset(), bits, width)
+    scorer = ngram_lm.Scorer(ngram_lm.Model(vocabulary, level, frozenset({(level, 1)}), ((0,) * 6,) * (level + 1)))
+    asked = np.concatenate([pairs, [pairs[0], pairs[1] ^ np.uint64(1)]], axis=1)
+    count, total, left = scorer._counts(level, *asked)
+    real, sums = dict(zip(map(tuple, pairs.T.tolist()), (2 * places).tolist(), strict=True)), Counter()
+    for (c, _), n in real.items():
+        sums[c] += n
+    assert count.tolist() == [real.get(x, 0) for x in map(tuple, asked.T.tolist())]
+    assert total.tolist() == [sums[c] for c in asked[0].tolist()] and (left > 0).all()
+
+
 def test_probabilities_sum_to_one(spark):
     texts = ["a b c a b", "b c d", "a a a b", "d c b a"]
     brute = KneserNey(texts, 2)
